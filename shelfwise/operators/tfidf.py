@@ -84,8 +84,9 @@ def vocabulary(df: DataFrame, terms: str, config: TermConfig) -> DataFrame:
     )
     rows = df.agg(F.count(F.lit(1))).scalar()
     counted = (
-        df.select(F.explode(both).alias("_t"))
+        df.select(F.explode_outer(both).alias("_t"))
         .select("_t.*")
+        .where(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
@@ -109,7 +110,9 @@ def tfidf_weights(df: DataFrame, doc: str, text: str, config: TermConfig) -> Dat
         vocab = F.broadcast(vocab)
     counted = (
         with_terms(df.select(doc, text).repartition(doc), text, config)
-        .select(doc, F.explode("_terms").alias("term"))
+        # The outer form keeps Spark from adding a filter on the array's size,
+        # which would compute the whole array a second time.
+        .select(doc, F.explode_outer("_terms").alias("term"))
         .join(vocab, "term")
         .groupBy(doc, "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("idf").alias("idf"))

@@ -10,6 +10,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True).option("quote", '"').option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False)
+        writer = writer.option("ignoreTrailingWhiteSpace", False)
     writer.format(fmt).save(path)
     return path
 
