@@ -42,24 +42,24 @@ def dedup_documents(spark, d):
 
 @query(f"SELECT doc_id, {I.clean_sql('text')} AS text FROM documents")
 def clean_text(spark, d):
-    return cleaning.clean_text_columns(I.table(spark, d, "documents").select("doc_id", "text"), ["text"])
+    return cleaning.clean_text_columns(I.texts(spark, d).select("doc_id", "text"), ["text"])
 
 
 @query(f"SELECT page_id, {I.clean_sql('html')} AS html, {I.clean_sql('url')} AS url FROM pages")
 def clean_html(spark, d):
-    return cleaning.clean_text_columns(I.table(spark, d, "pages").select("page_id", "html", "url"), ["html", "url"])
+    return cleaning.clean_text_columns(I.texts(spark, d, "pages").select("page_id", "html", "url"), ["html", "url"])
 
 
 @query(f"SELECT conv_id, turn, role, {I.clean_sql('text')} AS text FROM conversations")
 def clean_conversations(spark, d):
-    return cleaning.clean_text_columns(I.table(spark, d, "conversations"), ["text"])
+    return cleaning.clean_text_columns(I.texts(spark, d, "conversations"), ["text"])
 
 
 @query(
     f"SELECT count(text) AS non_empty_before, count(*) FILTER ({I.clean_sql('text')} <> '') AS non_empty_after FROM documents"
 )
 def text_cleaning_counters(spark, d):
-    return cleaning.text_cleaning_counters(I.table(spark, d, "documents"), "text")
+    return cleaning.text_cleaning_counters(I.texts(spark, d), "text")
 
 
 @query(

@@ -110,11 +110,11 @@ SELECT vec_id, rank, 'class_' || lpad(i::VARCHAR, 3, '0') AS class, round(v::DOU
 )
 def top_k_classes(spark, d):
     """The three largest components of every embedding, with their names."""
-    rows = I.table(spark, d, "embeddings")
     names = F.transform(
         "embedding", lambda _, i: F.concat(F.lit("class_"), F.lpad(i.cast("string"), 3, "0"))
     )
     scores = F.transform("embedding", lambda v: v.cast("double"))
+    rows = I.texts(spark, d, "embeddings")
     best = rows.select("vec_id", F.posexplode(ranking.top_k(scores, names, 3)).alias("i", "_b"))
     return best.select(
         "vec_id", (F.col("i") + 1).alias("rank"), "_b.class", F.col("_b.probability").alias("score")
@@ -128,7 +128,7 @@ SELECT vec_id, i::BIGINT AS i, round(p / sum(p) OVER (PARTITION BY vec_id), 6) A
 )
 def softmax_scores(spark, d):
     scores = F.transform("embedding", lambda v: v.cast("double"))
-    rows = I.table(spark, d, "embeddings").withColumn("_s", scores)
+    rows = I.texts(spark, d, "embeddings").withColumn("_s", scores)
     return rows.select("vec_id", F.posexplode(ranking.softmax(F.col("_s"))).alias("i", "p"))
 
 

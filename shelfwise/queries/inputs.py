@@ -10,13 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.functions.numeric import RATING_BINS  # noqa: F401  (re-exported for the SQL below)
+from shelfwise.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    """A table of long texts, spread over the task slots where it is small."""
+    return spread(table(spark, sf_dir, name))
+
+
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part."""
     return table(spark, sf_dir, "part").selectExpr(
@@ -96,7 +101,7 @@ REVIEWS = """reviews AS (
 
 def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as catalogue rows: title is the first line, target the language."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    return texts(spark, sf_dir).selectExpr(
         "doc_id", "split_part(text, '\n', 1) AS title", "text AS description", "lang AS category_level_2_sub", "source"
     )
 

@@ -63,6 +63,17 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with few splits one partition per task slot.
+
+    For CPU-heavy text work on small tables. A table with at least two splits
+    per slot, such as any large one, is left as it is and not shuffled. Call it
+    on a plain scan, whose split count is known without running a job.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * slots else df.repartition(slots)
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
     """Mark a class-level table for broadcast only after measuring it.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, functions as F
 
 
@@ -42,9 +44,14 @@ def write_classification_report(report: DataFrame, path: str, title: str = "") -
     return path
 
 
-def write_summary_report(sections: dict[str, DataFrame], path: str) -> dict[str, str]:
-    """Write each section of the data report as JSON under its own name."""
-    return {name: write_json(df, f"{path}/{name}") for name, df in sections.items()}
+def write_summary_report(sections: dict[str, DataFrame], path: str, parallelism: int = 4) -> dict[str, str]:
+    """Write each section of the data report as JSON under its own name.
+
+    The sections are independent small jobs, so several run at a time.
+    """
+    with ThreadPool(parallelism) as pool:
+        written = pool.map(lambda name: write_json(sections[name], f"{path}/{name}"), sections)
+    return dict(zip(sections, written))
 
 
 def write_features(df: DataFrame, path: str) -> str:
