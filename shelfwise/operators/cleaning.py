@@ -17,12 +17,12 @@ REVIEW_IDENTITY = ["parent_asin", "user_id", "rating", "text"]
 
 
 def keep_first(df: DataFrame, key: list[str], order_by: list[str] | None = None) -> DataFrame:
-    """The first row per key in the given order (default: all columns).
+    """The first row per key in the given order (default: the other columns).
 
     Spark limits each key to one row per map task before the shuffle, so a key
     with many copies does not gather in one task. Null keys count as equal.
     """
-    order = order_by or [f.name for f in df.schema.fields]
+    order = order_by or [c for c in df.columns if c not in key] or key
     first = W.partitionBy(*key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
@@ -65,17 +65,14 @@ def text_cleaning_counters(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _metrics(one_row: DataFrame, step: str) -> DataFrame:
-    return one_row.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(step).alias("step"), F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-                    for c in one_row.columns
-                ]
-            )
-        ).alias("_r")
-    ).select("_r.*")
+def step_metrics(one_row: DataFrame, steps: dict[str, list[str]]) -> DataFrame:
+    """A one-row frame of counters as (step, metric, value) rows."""
+    entries = [
+        F.struct(F.lit(step).alias("step"), F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+        for step, columns in steps.items()
+        for c in columns
+    ]
+    return one_row.select(F.explode(F.array(*entries)).alias("_r")).select("_r.*")
 
 
 def catalogue_counters(df: DataFrame, key: str = S.KEY, target: str = S.TARGET) -> DataFrame:
@@ -97,20 +94,24 @@ def catalogue_counters(df: DataFrame, key: str = S.KEY, target: str = S.TARGET)
         "final_count",
         (raw - F.col("final_count")).alias("total_removed"),
     )
-    return _metrics(one_row, "catalogue")
+    return step_metrics(one_row, {"catalogue": one_row.columns})
 
 
-def review_counters(df: DataFrame) -> DataFrame:
-    """Rows before, removed by each cleaning step, and left."""
+def review_totals(df: DataFrame, key: str = S.KEY) -> DataFrame:
+    """Rows before, removed by each cleaning step and left, and the books left.
+
+    One pass over the distinct identities; nothing else of a review matters.
+    """
     raw = df.agg(F.count(F.lit(1))).scalar()
-    cleaned = clean_text(F.col("text"))
     valid = F.col("rating").between(1, 5)
-    identity = df.select(*REVIEW_IDENTITY).distinct()
-    one_row = identity.agg(
+    identity = nan_to_null(df.select(*REVIEW_IDENTITY)).distinct().withColumn("_clean", clean_text(F.col("text")))
+    left = valid & (F.col("_clean") != "")
+    return identity.agg(
         F.count(F.lit(1)).alias("_unique"),
         F.count_if(~valid).alias("invalid_ratings_removed"),
-        F.count_if(valid & (cleaned == "")).alias("empty_text_removed"),
-        F.count_if(valid & (cleaned != "")).alias("final_count"),
+        F.count_if(valid & (F.col("_clean") == "")).alias("empty_text_removed"),
+        F.count_if(left).alias("final_count"),
+        F.count_distinct(F.when(left, F.col(key))).alias("books_with_reviews"),
     ).select(
         raw.alias("original_count"),
         (raw - F.col("_unique")).alias("duplicates_removed"),
@@ -118,10 +119,11 @@ def review_counters(df: DataFrame) -> DataFrame:
         "empty_text_removed",
         "final_count",
         (raw - F.col("final_count")).alias("total_removed"),
+        "books_with_reviews",
     )
-    return _metrics(one_row, "reviews")
 
 
-def step_metrics(one_row: DataFrame, step: str) -> DataFrame:
-    """A one-row frame of counters as (step, metric, value) rows."""
-    return _metrics(one_row, step)
+def review_counters(df: DataFrame) -> DataFrame:
+    """Rows before, removed by each cleaning step, and left."""
+    totals = review_totals(df).drop("books_with_reviews")
+    return step_metrics(totals, {"reviews": totals.columns})

@@ -1,15 +1,20 @@
 """Catalogue and review joins.
 
-A hot book can own a third of all reviews. Adaptive execution splits a skewed
-partition of the streamed side only, so the forms that keep unmatched catalogue
-rows are built as a splittable join plus the rows without a partner.
+A hot book can own a third of all reviews. Adaptive execution splits such a
+partition only in a join of two freshly shuffled inputs, and only on the side
+whose unmatched rows need not be kept. So the reviews take part in no chain of
+joins on the same key, and the forms that keep unmatched catalogue rows are a
+splittable join plus the rows without a partner.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise import schemas as S
+from shelfwise.session import cut_lineage, small_side
 
 
 def books_with_min_reviews(reviews: DataFrame, min_reviews: int, key: str = S.KEY) -> DataFrame:
@@ -49,19 +54,28 @@ def join_reviews(
     filtered = min_reviews_per_book > 1
     keys = books_with_min_reviews(right, max(1, min_reviews_per_book), key)
     columns = [key, *[c for c in left.columns if c != key], *[c for c in right.columns if c != key]]
-    if how in ("inner", "left"):
-        # Filtering the catalogue is cheaper than filtering the reviews, and
-        # the inner join then drops the same reviews.
-        wanted = left.join(keys, key, "left_semi") if filtered else left
-        matched = wanted.join(right, key, "inner")
+    if filtered:
+        # The catalogue is filtered rather than the far larger reviews. Few
+        # keys are broadcast; else the filtered catalogue is written, so that
+        # the join below reads two plain inputs either way.
+        few = small_side(keys)
+        wanted = left.join(few, key, "left_semi")
+        if few is keys:
+            wanted = cut_lineage(wanted, "wanted_books")
+        parts = [wanted.join(right, key, "inner").select(*columns)]
+        if how in ("right", "outer"):
+            orphans = keys.join(left, key, "left_anti")
+            few = small_side(orphans)
+            if few is orphans:
+                few = cut_lineage(orphans, "orphan_keys")
+            parts.append(right.join(few, key, "left_semi"))
+    elif how in ("inner", "left"):
+        parts = [left.join(right, key, "inner").select(*columns)]
     else:
-        kept = right.join(keys, key, "left_semi") if filtered else right
-        matched = kept.join(left, key, "left")
-    matched = matched.select(*columns)
+        parts = [right.join(left, key, "left").select(*columns)]
     if how in ("left", "outer"):
-        alone = left.join(keys, key, "left_anti")
-        matched = matched.unionByName(alone, allowMissingColumns=True)
-    return matched
+        parts.append(left.join(keys, key, "left_anti"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def join_counts(joined: DataFrame, key: str = S.KEY) -> DataFrame:

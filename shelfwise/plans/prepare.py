@@ -11,7 +11,6 @@ from shelfwise import schemas as S
 from shelfwise.functions.text import has_series
 from shelfwise.operators.aggregates import (
     enrich_with_reviews,
-    enrichment_counters,
     filter_by_review_count,
     filter_rare_categories,
     rare_filter_counters,
@@ -20,7 +19,7 @@ from shelfwise.operators.cleaning import (
     catalogue_counters,
     clean_catalogue,
     clean_reviews,
-    review_counters,
+    review_totals,
     step_metrics,
 )
 from shelfwise.operators.sampling import (
@@ -72,9 +71,18 @@ def prepare(catalogue: DataFrame, reviews: DataFrame, config: PrepareConfig) ->
 
 
 def preparation_report(catalogue: DataFrame, reviews: DataFrame, config: PrepareConfig) -> DataFrame:
-    """Counters of every step as (step, metric, value) rows."""
-    books, facts = clean_catalogue(catalogue, config.key, config.target), clean_reviews(reviews)
+    """Counters of every step as (step, metric, value) rows.
+
+    The stored enriched table and one pass over each raw table serve all steps.
+    """
     stages = prepare(catalogue, reviews, config)
+    without = stages.enriched.agg(F.count_if(F.col("review_count") == 0)).scalar()
+    added = len([c for c in S.ENRICHMENT_DEFAULTS if c in stages.enriched.columns])
+    facts = review_totals(reviews, config.key).select(
+        "*", without.alias("books_without_reviews"), F.lit(added).alias("features_added")
+    )
+    enrichment = ["books_with_reviews", "books_without_reviews", "features_added"]
+    filtering = rare_filter_counters(stages.enriched, config.target, config.min_samples_per_category)
     before = stages.filtered.agg(F.count(F.lit(1))).scalar()
     sampling = stages.sampled.agg(F.count(F.lit(1)).alias("sampled_count")).select(
         before.alias("original_count"),
@@ -83,15 +91,11 @@ def preparation_report(catalogue: DataFrame, reviews: DataFrame, config: Prepare
     )
     parts = [
         catalogue_counters(catalogue, config.key, config.target),
-        review_counters(reviews),
-        step_metrics(
-            enrichment_counters(books, facts, config.key).drop("avg_review_count", "max_review_count", "avg_rating"),
-            "enrichment",
-        ),
         step_metrics(
-            rare_filter_counters(stages.enriched, config.target, config.min_samples_per_category), "filtering"
+            facts, {"reviews": [c for c in facts.columns if c not in enrichment], "enrichment": enrichment}
         ),
-        step_metrics(sampling, "sampling"),
+        step_metrics(filtering, {"filtering": filtering.columns}),
+        step_metrics(sampling, {"sampling": sampling.columns}),
     ]
     return reduce(DataFrame.unionByName, parts)
 

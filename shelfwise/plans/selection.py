@@ -34,12 +34,11 @@ def cross_validate(
 ) -> DataFrame:
     """The score of each stratified fold, as (fold, score) rows.
 
-    Fold numbers are written once; folds train at the same time, up to
-    ``parallelism``, and only their score reaches the driver.
+    ``featured`` should be a stored frame. Fold numbers are added map-only;
+    folds train at the same time, up to ``parallelism``, and only their score
+    reaches the driver.
     """
-    assigned = cut_lineage(
-        stratified_folds(featured.select("features", label, *key), label, folds, key, seed), "folds"
-    )
+    assigned = stratified_folds(featured.select("features", label, *key), label, folds, key, seed)
 
     def score(fold: int) -> tuple[int, float]:
         model = train(assigned.where(F.col("fold") != fold))

@@ -14,7 +14,7 @@ from shelfwise.queries.registry import query
 
 def enriched(spark, d):
     books = cleaning.clean_catalogue(I.raw_catalogue(spark, d), order_by=["title"])
-    return aggregates.enrich_with_reviews(books, cleaning.clean_reviews(I.reviews(spark, d)))
+    return aggregates.enrich_with_reviews(books, cleaning.clean_reviews(I.reviews(spark, d, True)))
 
 
 @query(
@@ -31,7 +31,7 @@ def dedup_catalogue(spark, d):
     ORDER BY title, helpful_vote, verified_purchase, year) AS rn FROM reviews) WHERE rn = 1"""
 )
 def dedup_reviews(spark, d):
-    return cleaning.keep_first(I.reviews(spark, d), cleaning.REVIEW_IDENTITY)
+    return cleaning.keep_first(I.reviews(spark, d, True), cleaning.REVIEW_IDENTITY)
 
 
 @query("SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text")
@@ -101,7 +101,7 @@ def clean_catalogue(spark, d):
 
 @query(f"WITH {I.CLEAN_REVIEWS} SELECT * FROM clean_reviews")
 def clean_reviews(spark, d):
-    return cleaning.clean_reviews(I.reviews(spark, d))
+    return cleaning.clean_reviews(I.reviews(spark, d, True))
 
 
 _ROUNDED = ", ".join(
@@ -128,7 +128,7 @@ SELECT * EXCLUDE (rn, n) REPLACE ({_ROUNDED}) FROM sampled WHERE rn <= round_eve
 )
 def prepared_table(spark, d):
     """Clean, enrich, drop rare categories and thin books, sample by category."""
-    return plan.prepare(I.raw_catalogue(spark, d), I.reviews(spark, d), CONFIG).sampled.drop("has_series")
+    return plan.prepare(I.raw_catalogue(spark, d), I.reviews(spark, d, True), CONFIG).sampled.drop("has_series")
 
 
 @query(
@@ -170,7 +170,7 @@ SELECT step, r.metric AS metric, r.value::DOUBLE AS value FROM m"""
 )
 def preparation_report(spark, d):
     """Rows before, removed and left at every preparation step."""
-    return plan.preparation_report(I.raw_catalogue(spark, d), I.reviews(spark, d), CONFIG)
+    return plan.preparation_report(I.raw_catalogue(spark, d), I.reviews(spark, d, True), CONFIG)
 
 
 @query("SELECT count(DISTINCT lang) AS unique_values, count(*) FILTER (lang IS NULL) AS missing_values FROM documents")

@@ -72,9 +72,10 @@ RAW_CATALOGUE = f"""{CATALOGUE}, raw_catalogue AS (
   SELECT * REPLACE (title || ' reprint' AS title) FROM catalogue WHERE rating_number > 250)"""
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, long_work: bool = False) -> DataFrame:
     """One row per line item; ratings 0 and 6 are invalid, some texts empty."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
+    items = table(spark, sf_dir, "lineitem")
+    return (spread(items) if long_work else items).selectExpr(
         "l_partkey AS parent_asin",
         "l_suppkey AS user_id",
         "CAST(CAST(l_quantity AS INT) % 7 AS DOUBLE) AS rating",

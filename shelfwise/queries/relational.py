@@ -94,7 +94,7 @@ def drop_labelled_documents(spark, d):
 FROM clean_reviews GROUP BY 1"""
 )
 def review_features(spark, d):
-    return aggregates.review_features(clean_reviews(I.reviews(spark, d)))
+    return aggregates.review_features(clean_reviews(I.reviews(spark, d, True)))
 
 
 @query(

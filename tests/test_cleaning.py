@@ -106,6 +106,6 @@ def test_catalogue_counters_add_up(spark):
 def test_review_counters_add_up(spark):
     df = spark.createDataFrame(random_reviews(300), REVIEW)
     clean_rows = cleaning.clean_reviews(df).count()
-    counters = {r["metric"]: r["value"] for r in cleaning.review_counters(cleaning.nan_to_null(df)).collect()}
+    counters = {r["metric"]: r["value"] for r in cleaning.review_counters(df).collect()}
     assert counters["final_count"] == clean_rows
     assert counters["original_count"] - counters["total_removed"] == clean_rows

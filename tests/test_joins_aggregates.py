@@ -149,3 +149,39 @@ def test_describe_matches_pandas(spark):
     want = pd.Series(data).describe()
     got = [row[c] for c in ("count", "mean", "std", "min", "p25", "p50", "p75", "max")]
     assert all(math.isclose(a, b) for a, b in zip(got, want))
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+@pytest.mark.parametrize("minimum, bound", [(1, 50_000), (5, 50_000), (5, 10)])
+def test_hot_book_is_split_in_the_join(spark, capsys, monkeypatch, how, minimum, bound):
+    from shelfwise.session import small_side
+
+    monkeypatch.setattr(joins, "small_side", lambda df: small_side(df, bound))
+    before = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        books = spark.range(2000).selectExpr("id AS parent_asin", "concat('t', id) AS title")
+        # Book 7 holds a third of the reviews.
+        reviews = spark.range(0, 60_000, 1, 6).selectExpr(
+            "CASE WHEN id < 20000 THEN 7 ELSE id % 3000 END AS parent_asin", "id AS user_id", "sha2(string(id), 256) AS text"
+        )
+        joined = joins.join_reviews(books, reviews, how, minimum)
+        n = len(joined.collect())
+        joined.explain()
+        assert "skew=true" in capsys.readouterr().out
+        matched = reviews.where("parent_asin < 2000").count()
+        extra = {"inner": 0, "left": 0, "right": reviews.count() - matched, "outer": reviews.count() - matched}
+        assert n == matched + extra[how]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
