@@ -198,6 +198,11 @@ def distinct_and_duplicates(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def unknown_values(df: DataFrame, column: str, known: list[str]) -> DataFrame:
+    """Values of a column outside the known list, with their rows."""
+    return category_sizes(df.where(~F.col(column).isin(list(known))), column)
+
+
 def with_text_length(df: DataFrame, column: str = "text") -> DataFrame:
     """Adds the length of a text column in code points."""
     return df.withColumn("text_length", text_length(F.col(column)))

@@ -111,9 +111,9 @@ def missing_from_weights(df: DataFrame, weights: DataFrame, by: str = S.TARGET)
 
 
 def sample_weights(df: DataFrame, weights: DataFrame, by: str = S.TARGET, column: str = "sample_weight") -> DataFrame:
-    """Adds the weight of each row's class, joined by class name."""
+    """Adds the weight of each row's class, joined by class name; 1 without one."""
     small = small_side(weights.select(by, F.col("weight").alias(column)))
-    return df.join(small, by)
+    return df.join(small, by, "left").fillna(1.0, [column])
 
 
 def resolve_weights(df: DataFrame, weights: DataFrame | None, by: str = S.TARGET) -> DataFrame:

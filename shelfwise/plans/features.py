@@ -285,18 +285,19 @@ def dataset_summary(featured: DataFrame, fitted: FittedFeatures) -> DataFrame:
 
 
 def save_features_and_metadata(
-    split: DataFrame, fitted: FittedFeatures, output_dir: str, model_dir: str
+    split: DataFrame, fitted: FittedFeatures, output_dir: str, model_dir: str, keep: list[str] | None = None
 ) -> dict[str, str]:
     """Write features, names, classes, summary and the fitted stages.
 
-    ``split`` carries the ``split`` column; features are computed once.
+    ``split`` carries the ``split`` column; features are computed once. Columns
+    in ``keep``, such as the row key, are written along.
     """
     spark = split.sparkSession
     paths = {
         name: f"{output_dir}/{name}" for name in ("features", "feature_names", "class_info", "distribution", "summary")
     }
     label = fitted.config.label
-    write_features(fitted.transform(split).select("split", label, "features"), paths["features"])
+    write_features(fitted.transform(split).select("split", *(keep or []), label, "features"), paths["features"])
     featured = spark.read.parquet(paths["features"])
     write_json(fitted.feature_table(spark), paths["feature_names"])
     write_json(class_info(featured, fitted.class_names, label), paths["class_info"])

@@ -197,3 +197,8 @@ def review_count_filter(spark, d):
         "parent_asin", F.col("num_reviews").alias("review_count")
     )
     return aggregates.filter_by_review_count(counts, 30)
+
+
+@query("SELECT lang, count(*) AS n FROM documents WHERE lang NOT IN ('en', 'fr') GROUP BY 1")
+def unknown_values(spark, d):
+    return aggregates.unknown_values(I.table(spark, d, "documents"), "lang", ["en", "fr"])

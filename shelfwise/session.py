@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SMALL_TABLE_ROWS = 50_000
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def build_session(app_name: str = "shelfwise", **conf: str) -> SparkSession:
@@ -34,11 +35,12 @@ def scratch_root(spark: SparkSession) -> str | None:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         return None
-    folder = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="shelfwise-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

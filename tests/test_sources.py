@@ -109,6 +109,48 @@ def test_undersample_strategy(raw):
         PrepareConfig(balance_strategy="other")
 
 
+def test_workflow_from_files_to_a_scoring_classifier(spark, raw):
+    from shelfwise.plans.features import FeatureConfig
+    from shelfwise.plans.scoring import Classifier
+    from shelfwise.plans.training import BoostedConfig, LogisticConfig
+    from shelfwise.plans.workflow import WorkflowConfig, run_workflow
+
+    books = sinks.write_table(raw[0], scratch_path(spark, "in") + ".csv", "csv")
+    reviews = sinks.write_table(raw[1], scratch_path(spark, "in") + ".parquet")
+    config = WorkflowConfig(
+        prepare=PrepareConfig(min_samples_per_category=5),
+        features=FeatureConfig(max_features=20),
+        boosted=BoostedConfig(n_estimators=2, max_depth=2),
+        logistic=LogisticConfig(max_iter=5),
+        aggressive=True,
+    )
+    output = scratch_path(spark, "workflow")
+    done = run_workflow(spark, books, reviews, output, config)
+    assert done["best"] in ("boosted", "logistic")
+    assert spark.read.option("header", True).csv(f"{output}/comparison").count() == 2
+    assert spark.read.json(f"{output}/models/logistic/metrics").first()["cv_results"]["mean"] >= 0
+    one = Classifier.load(spark, done["model"], done["extractor"])
+    assert one.predict(spark, "Book 4 #7", "About 4", 4.0, 4.0, 5, "Kindle")["predicted_class"] in "AB"
+    with pytest.raises(ValueError, match="required columns"):
+        run_workflow(spark, reviews, reviews, output, config)
+
+
+def test_scratch_folder_choice(spark):
+    from types import SimpleNamespace
+
+    from shelfwise.session import scratch_root
+
+    def session(master, folder=None):
+        conf = SimpleNamespace(get=lambda key, default: folder or default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"))
+
+    assert scratch_root(session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert scratch_root(session("yarn")) is None
+    assert scratch_root(session("local[2]")) == scratch_root(session("local[2]")) is not None
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session("yarn"), "x")
+
+
 def test_summary_report(spark, raw):
     paths = sinks.write_summary_report(summary_sections(spark, *raw), scratch_path(spark, "report"))
     assert {"basic_info", "missing_values", "ratings", "reviews_per_book", "years", "verified_purchase"} <= set(paths)
