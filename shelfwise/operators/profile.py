@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise import schemas as S
 from shelfwise.functions.numeric import is_missing, round_half_even
-from shelfwise.operators.quantiles import exact_quantiles
+from shelfwise.operators.quantiles import exact_quantiles, quantiles_from_counts
 
 
 def _unpivot(df: DataFrame, columns: list[str], value: str = "value") -> DataFrame:
@@ -155,22 +155,25 @@ def category_distribution(df: DataFrame, level: str = S.TARGET, top_n: int | Non
     return out if top_n is None else out.limit(top_n)
 
 
-def _length_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    lengths = df.select(*[F.length(F.col(c)).alias(c) for c in columns])
-    return _unpivot(lengths, columns, "value")
+def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    return _unpivot(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_c"))
 
 
 def text_profile(df: DataFrame, columns: list[str] | None = None, digits: int = 2) -> DataFrame:
-    """Missing count and length statistics of each text column."""
+    """Missing count and length statistics of each text column.
+
+    The texts are read once: all figures come from the rows per length.
+    """
     columns = _present(df, columns or S.PROFILE_TEXT_COLUMNS)
-    values = _length_values(df, columns)
-    basic = values.groupBy("column").agg(
-        F.count_if(F.col("value").isNull()).alias("missing_count"),
-        round_half_even(F.avg("value"), digits).alias("avg_length"),
+    counts = _value_counts(df.select(*[F.length(F.col(c)).alias(c) for c in columns]), columns)
+    filled = F.when(F.col("value").isNotNull(), F.col("_c"))
+    basic = counts.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_c"))), F.lit(0)).alias("missing_count"),
+        round_half_even(F.try_divide(F.sum(F.col("value") * filled), F.sum(filled)), digits).alias("avg_length"),
         F.max("value").cast("bigint").alias("max_length"),
         F.min("value").cast("bigint").alias("min_length"),
     )
-    medians = exact_quantiles(values, ["column"], "value", {"median_length": 0.5}, True)
+    medians = quantiles_from_counts(counts, ["column"], "value", "_c", {"median_length": 0.5})
     return basic.join(F.broadcast(medians), "column", "left").where(F.col("max_length").isNotNull())
 
 
@@ -194,7 +197,12 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 
 def describe_column(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles of one column."""
+    """Count, mean, deviation, extremes and exact quartiles of one column.
+
+    Rows per key, as whole numbers, are described from their value counts.
+    """
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    whole = isinstance(df.schema[column].dataType, T.IntegralType)
     values = _unpivot(df.select(F.col(column).cast("double").alias(column)), [column])
     basic = values.groupBy("column").agg(
         F.count("value").alias("count"),
@@ -203,10 +211,12 @@ def describe_column(df: DataFrame, column: str) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(
-        values, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, True
-    )
-    return basic.join(F.broadcast(quartiles), "column", "left")
+    if whole:
+        counts = _value_counts(df.select(F.col(column).cast("double").alias(column)), [column])
+        marks = quantiles_from_counts(counts, ["column"], "value", "_c", quartiles)
+    else:
+        marks = exact_quantiles(values, ["column"], "value", quartiles, True)
+    return basic.join(F.broadcast(marks), "column", "left")
 
 
 def null_rate_by_group(df: DataFrame, group: str, column: str) -> DataFrame:

@@ -13,6 +13,33 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 ACCURACY = 10_000
 
 
+def quantiles_from_counts(
+    counts: DataFrame, by: list[str], value: str, count: str, probabilities: dict[str, float]
+) -> DataFrame:
+    """Exact quantiles of a table of (group, value, rows).
+
+    For whole-number values whose sum is bounded by the data, such as text
+    lengths or rows per key: ``d`` distinct ones take at least ``d * d / 2``
+    characters or rows, so the counts of even a huge table sort in one task.
+    """
+    running = W.partitionBy(*by).orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = (
+        counts.where(F.col(value).isNotNull())
+        .withColumn("_upto", F.sum(count).over(running))
+        .withColumn("_n", F.sum(count).over(W.partitionBy(*by)))
+    )
+    picks, outputs = [], []
+    for i, (name, p) in enumerate(probabilities.items()):
+        h = F.lit(p) * (F.col("_n") - 1)
+        picks += [
+            F.min(F.when(F.col("_upto") >= F.floor(h) + 1, F.col(value))).alias(f"_a{i}"),
+            F.min(F.when(F.col("_upto") >= F.ceil(h) + 1, F.col(value))).alias(f"_z{i}"),
+            F.max(h - F.floor(h)).alias(f"_f{i}"),
+        ]
+        outputs.append((F.col(f"_a{i}") + (F.col(f"_z{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(name))
+    return ranked.groupBy(*by).agg(*picks).select(*by, *outputs)
+
+
 def exact_quantiles(
     df: DataFrame,
     by: list[str],

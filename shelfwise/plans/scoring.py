@@ -76,9 +76,14 @@ class Classifier:
         rating_count: int,
         book_format: str,
     ) -> dict:
-        """Score one record."""
-        request = spark.createDataFrame(
-            [(title, description, price, rating, rating_count, book_format)], S.REQUEST_SCHEMA
+        """Score one record.
+
+        The record enters as literals, so no input job is needed.
+        """
+        values = dict(zip(S.REQUEST_SCHEMA.names, (title, description, price, rating, rating_count, book_format)))
+        columns = ", ".join(
+            f"CAST(:{f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in S.REQUEST_SCHEMA.fields
         )
+        request = spark.sql(f"SELECT {columns}", args=values)
         row = self.score(request).select("predicted_class", "confidence", "top_3").first()
         return row.asDict(recursive=True)

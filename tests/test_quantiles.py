@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.operators.quantiles import exact_quantiles
+from shelfwise.operators.quantiles import exact_quantiles, quantiles_from_counts
 
 PROBS = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
 
@@ -44,3 +44,14 @@ def test_missing_values_are_left_out(spark):
 def test_whole_numbers(spark):
     df = spark.range(100_001).select(F.lit("x").alias("g"), "id")
     assert exact_quantiles(df, ["g"], "id", {"m": 0.5, "q": 0.999}).first()[1:] == (50_000.0, 99_900.0)
+
+
+def test_quantiles_from_counts(spark):
+    rng = np.random.default_rng(3)
+    groups = {"a": rng.integers(0, 40, 999), "b": rng.integers(5, 9, 2), "c": np.array([7])}
+    rows = [(g, int(v)) for g, vs in groups.items() for v in vs] + [("a", None)]
+    counts = spark.createDataFrame(rows, "g string, v int").groupBy("g", "v").count()
+    got = {r["g"]: r for r in quantiles_from_counts(counts, ["g"], "v", "count", PROBS).collect()}
+    for g, vs in groups.items():
+        for name, p in PROBS.items():
+            assert got[g][name] == pytest.approx(np.quantile(vs, p), rel=1e-12), (g, name)
