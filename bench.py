@@ -19,7 +19,7 @@ from shelfwise.session import build_session
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "1"))
 ONLY = [p for p in os.environ.get("BENCH_ONLY", "").split(",") if p]
 
 
