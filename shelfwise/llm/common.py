@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -18,11 +20,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SPACES = " \t\n\x0b\f\r"
 WORD_BREAK = "[\\x20\\x09-\\x0D]+"
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 _OWN_ROOTS: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named columns of a given table."""
+    """The named columns of a given table.
+
+    Arrow batches are held to ``BATCH_BYTES`` from here on, so that a worker's
+    memory follows neither the number of rows nor the longest texts.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
@@ -143,6 +151,30 @@ def hash_strings(values: pa.Array, seed: int = 42) -> np.ndarray:
     return np.fromiter((digest(v, seed) for v in values.cast(pa.binary()).to_pylist()), np.uint64, len(values))
 
 
+def fast_hashes(values: pa.Array, seed: int = 1) -> np.ndarray:
+    """64-bit hashes of strings without a Python loop: a random multiplier for each byte position.
+
+    For tables inside a task; contracts that name XXH64 use ``hash_strings``.
+    """
+    values = values.cast(pa.large_binary())
+    if len(values) == 0:
+        return np.empty(0, np.uint64)
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    data = np.frombuffer(values.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    lengths = np.diff(offsets)
+    place = ragged(np.zeros(len(values), np.int64), lengths)
+    factors = np.random.default_rng(seed).integers(0, 1 << 63, max(1, int(lengths.max())), np.uint64) * np.uint64(2) + np.uint64(1)
+    terms = np.append((data.astype(np.uint64) + np.uint64(1)) * factors[place], np.uint64(0))
+    total = np.add.reduceat(terms, np.minimum(offsets[:-1] - offsets[0], len(terms) - 1))
+    total[lengths == 0] = 0
+    return mix(total + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def kept_in_worker(name: str) -> dict:
+    """A dictionary that lives as long as the worker process, shared by its tasks."""
+    return sys.modules.setdefault("_shelfwise_worker", types.ModuleType("_shelfwise_worker")).__dict__.setdefault(name, {})
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A fixed permutation of 64-bit values that spreads every bit."""
     x = x ^ (x >> np.uint64(30))

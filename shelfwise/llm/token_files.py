@@ -16,20 +16,37 @@ copied to wherever the word stands.
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm.common import Words, bounded, map_array, ragged, read_json, shared_path, table, write_bytes, write_json
+from shelfwise.llm.common import (
+    Words,
+    bounded,
+    fast_hashes,
+    kept_in_worker,
+    map_array,
+    open_fs,
+    ragged,
+    read_json,
+    shared_path,
+    table,
+    write_bytes,
+    write_json,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 2_000_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -39,35 +56,74 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Encoder:
-    """Ids of words, remembered while they fit a bounded cache."""
+    """Ids of words, remembered in sorted arrays of at most about ``cached_words`` entries.
+
+    A word of letters with punctuation behind it is looked up as two pieces,
+    which the tokenizer always separates.
+    """
+
+    PIECES = r"^(?P<core>\p{L}+)(?P<tail>[.,;:!?|$%&*#]*)$"
 
     def __init__(self, path: str, dtype: str, cached_words: int = CACHED_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype, self.most, self.known = Tokenizer.from_file(path), dtype, cached_words, {}
-
-    def ids(self, vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words end to end, and how many each has."""
-        if len(self.known) > self.most:
-            self.known.clear()
-        new = [w for w in vocabulary if w not in self.known]
-        for word, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(code.ids, self.dtype).tobytes()
-        pieces = [self.known[w] for w in vocabulary]
-        width = np.dtype(self.dtype).itemsize
-        return np.frombuffer(b"".join(pieces), self.dtype), np.fromiter(map(len, pieces), np.int64, len(pieces)) // width
+        self.dtype, self.most = dtype, cached_words
+        self.state = kept_in_worker(f"token ids of {path}")
+        if "tokenizer" not in self.state:
+            self.state["tokenizer"] = Tokenizer.from_file(path)
+            self.forget()
+
+    def forget(self) -> None:
+        self.state.update(keys=np.empty(0, np.uint64), starts=np.empty(0, np.int64), lengths=np.empty(0, np.int32), flat=np.empty(0, self.dtype))
+
+    def learn(self, words: pa.Array, keys: np.ndarray) -> None:
+        codes = self.state["tokenizer"].encode_batch_fast(words.to_pylist(), add_special_tokens=False)
+        ids = [c.ids for c in codes]
+        lengths = np.fromiter(map(len, ids), np.int32, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype, int(lengths.sum()))
+        starts = len(self.state["flat"]) + np.cumsum(lengths, dtype=np.int64) - lengths
+        order = np.argsort(np.concatenate([self.state["keys"], keys]), kind="stable")
+        for name, new in (("keys", keys), ("starts", starts), ("lengths", lengths)):
+            self.state[name] = np.concatenate([self.state[name], new])[order]
+        self.state["flat"] = np.concatenate([self.state["flat"], flat])
+
+    def places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each of these distinct strings stand in ``flat``, and how many they are."""
+        if len(self.state["keys"]) > self.most:
+            self.forget()
+        keys = fast_hashes(words)
+        at = np.searchsorted(self.state["keys"], keys)
+        known = at < len(self.state["keys"])
+        known[known] = self.state["keys"][at[known]] == keys[known]
+        if not known.all():
+            self.learn(words.filter(pa.array(~known)), keys[~known])
+            at = np.searchsorted(self.state["keys"], keys)
+        return self.state["starts"][at], self.state["lengths"][at].astype(np.int64)
 
     def documents(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts end to end, each with ``end_id`` behind it, and the texts' lengths."""
-        words = Words(texts, lower=False)
-        flat, lengths = self.ids(words.vocabulary.to_pylist())
-        starts = np.cumsum(lengths) - lengths
-        per_word = lengths[words.ids]
-        per_doc = np.bincount(words.doc, weights=per_word, minlength=len(texts)).astype(np.int64) + 1
+        # The tokenizer lower-cases too; names of special tokens count only as written.
+        words = Words(texts, lower=not pc.any(pc.match_substring(texts, "<|")).as_py())
+        split = pc.extract_regex(words.vocabulary, self.PIECES)
+        tail = pc.fill_null(pc.struct_field(split, "tail"), "")
+        pieces = pa.concat_arrays([pc.coalesce(pc.struct_field(split, "core"), words.vocabulary), tail]).dictionary_encode()
+        starts, lengths = self.places(pieces.dictionary)
+        piece = pieces.indices.to_numpy().astype(np.int64).reshape(2, -1)
+        has_tail = pc.greater(pc.binary_length(tail), 0).to_numpy(zero_copy_only=False)
+        per_word = 1 + has_tail[words.ids]
+        first = np.cumsum(per_word) - per_word
+        sequence = np.empty(int(per_word.sum()), np.int64)
+        sequence[first] = piece[0][words.ids]
+        more = per_word == 2
+        sequence[first[more] + 1] = piece[1][words.ids[more]]
+        piece_lengths = lengths[sequence]
+        piece_doc = np.repeat(words.doc, per_word)
+        per_doc = np.bincount(piece_doc, weights=piece_lengths, minlength=len(texts)).astype(np.int64) + 1
         out = np.full(int(per_doc.sum()), end_id, self.dtype)
         within = np.ones(len(out), bool)
         within[np.cumsum(per_doc) - 1] = False
-        out[within] = flat[ragged(starts[words.ids], per_word)]
+        out[within] = self.state["flat"][ragged(starts[sequence], piece_lengths)]
         return out, per_doc
 
 
@@ -77,8 +133,6 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
     Nulls and empty texts hold the end id alone. Null ids come first, equal ids
     in the order of their texts' hashes. An empty table gives an empty manifest.
     """
-    import json
-
     vocabulary = json.load(open(path))["model"]["vocab"]
     dtype = "<u2" if max(max(vocabulary.values()), end_id) < 1 << 16 else "<u4"
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -90,8 +144,6 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         stem, sink = f"{folder}/{name}", None
-        from shelfwise.llm.common import open_fs
-
         fs, target = open_fs(f"{stem}.ids")
         for batch in bounded(batches):
             if sink is None:
