@@ -55,13 +55,15 @@ def targets(sizes: dict, weights: tuple = WEIGHTS, share: float = SHARE, most: f
     return {s: float(wanted[s]) for s in order}
 
 
-def sized(docs: DataFrame, text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
-    """All rows with their words counted and a seeded 60-bit hash of the whole row.
+def sized(docs: DataFrame, text: str = "text", source: str = "source", keep: list[str] | None = None, seed: int = SEED) -> DataFrame:
+    """The rows packed into ``_row``, their words counted, and a seeded 60-bit hash of the whole row.
 
-    Rows that agree in every column share a hash and are told apart nowhere.
+    ``keep`` names the columns that ``_row`` holds, all by default. Rows that
+    agree in every column share a hash and are told apart nowhere.
     """
     key = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`").cast("string") for c in docs.columns])
-    return docs.withColumns({"_size": word_count(f"`{text}`"), "_source": F.col(f"`{source}`"), "_key": F.shiftrightunsigned(key, 64 - HASH_BITS)})
+    packed = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns])
+    return docs.select(packed.alias("_row"), word_count(f"`{text}`").alias("_size"), F.col(f"`{source}`").alias("_source"), F.shiftrightunsigned(key, 64 - HASH_BITS).alias("_key"))
 
 
 def thresholds(rows: DataFrame, remainders: dict) -> dict:
@@ -169,18 +171,18 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", **how) ->
     words; null and empty texts have size 0 and follow their block; a null
     source is a source of its own, sorted last. An empty table stays empty.
     """
-    columns = docs.columns
     rows = sized(docs, text, source)
     counts = stored(rows.select("_source", "_size", "_key"), "mix-sizes")
-    per_source, per_block, shards = plan(counts, **how)
-    picks = drawn(rows, per_source, per_block).select(*[f"`{c}`" for c in columns], "_key", F.explode("_draws").alias("_draw"))
+    per_source, per_block, _ = plan(counts, **how)
+    picks = drawn(rows, per_source, per_block).select("_row", "_key", F.explode("_draws").alias("_draw"))
     order = F.xxhash64("_key", "_draw.copy", "_draw.shard")
-    return picks.withColumn("_order", order).repartitionByRange("_draw.shard", "_order").sortWithinPartitions("_draw.shard", "_order").select(*[f"`{c}`" for c in columns])
+    picks = picks.select("_row", F.col("_draw.shard").alias("_shard"), order.alias("_order"))
+    return picks.repartitionByRange("_shard", "_order").sortWithinPartitions("_shard", "_order").select("_row.*")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix of all sources takes."""
-    rows = stored(sized(table(spark, sf_dir, "documents", "doc_id", "source", "text")).drop("text"), "mix-sizes")
+    rows = stored(sized(table(spark, sf_dir, "documents", "doc_id", "source", "text"), keep=["doc_id"]), "mix-sizes")
     per_source, per_block, _ = plan(rows.select("_source", "_size", "_key"))
     out = drawn(rows, per_source, per_block)
-    return out.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.size("_draws") * F.col("_size")).cast("long").alias("taken"))
+    return out.select("_row.doc_id", F.col("_size").alias("size"), "source_size", "target", (F.size("_draws") * F.col("_size")).cast("long").alias("taken"))

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
-from shelfwise.llm import mixing, token_files
+from shelfwise.llm import mixing, simhash, token_files
 
-QUERIES = {f.__name__: f for f in (mixing.op6_mixing, token_files.op10_token_files)}
+QUERIES = {f.__name__: f for f in (simhash.op4_simhash, mixing.op6_mixing, token_files.op10_token_files)}
 SQL: dict[str, str] = {}
