@@ -25,7 +25,7 @@ FILTERS = 16
 EMBEDDING = 8
 ROWS_PER_LANGUAGE = 1_500
 SAMPLE_CHARS = 256
-EPOCHS = 6
+STEPS = 900
 RATE = 0.004
 BATCH = 128
 UNKNOWN = "und"
@@ -84,12 +84,12 @@ def gradients(model: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
     return loss, grads
 
 
-def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = EPOCHS, seed: int = 3) -> dict:
-    """Adam over shuffled batches; the same sample gives the same network."""
+def train(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = STEPS, seed: int = 3) -> dict:
+    """Adam over at least ``steps`` shuffled batches; the same sample gives the same network."""
     model, rng = start(languages, seed), np.random.default_rng(seed)
     names = [k for k in model if k != "languages"]
     first, second, t = {k: np.zeros_like(model[k]) for k in names}, {k: np.zeros_like(model[k]) for k in names}, 0
-    for _ in range(epochs):
+    while t < steps:
         order = rng.permutation(len(x))
         for at in range(0, len(x), BATCH):
             pick = order[at : at + BATCH]
