@@ -1,8 +1,8 @@
 """License scans with a positional rare-token index, in DataFrame functions only.
 
 Templates are word sequences with a label and mandatory key phrases. Over the
-whole corpus the document frequency of every template word is counted; a
-template's rarest words are its anchors. Each place where an anchor stands in a
+whole corpus the document frequency of every template word is counted; the rarest
+words of a template's key phrases are its anchors. Each place where an anchor stands in a
 file gives, by its position in the template, a place where the template could
 start. Such a start is kept if most of the template's anchors stand at their
 relative positions, if the key phrases stand at theirs, and if enough of all
@@ -85,9 +85,12 @@ def document_frequency(docs: DataFrame, text: str, vocabulary: list[str]) -> dic
 
 
 def anchors(template: dict, frequency: dict[str, int]) -> list[tuple[int, str]]:
-    """The rarest distinct words of a template at their first places; ties by the word."""
-    rare = sorted(set(template["words"]), key=lambda w: (frequency[w], w))[:ANCHORS]
-    return [(template["words"].index(w), w) for w in rare]
+    """The rarest distinct words of a template's key phrases at their first places; ties by the word."""
+    place: dict[str, int] = {}
+    for at, key in template["keys"]:
+        for i, word in enumerate(key):
+            place.setdefault(word, at + i)
+    return [(place[w], w) for w in sorted(place, key=lambda w: (frequency[w], w))[:ANCHORS]]
 
 
 def least_anchors(chosen: list) -> int:
@@ -158,7 +161,7 @@ WITH t(t, label, base, tw, kat, kw) AS (VALUES
   {rows}),
 d AS (SELECT row_number() OVER () AS r, doc_id,
   regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
-tp AS (SELECT t, x, min(p) - 1 AS p FROM (SELECT t, unnest(tw) AS x, generate_subscripts(tw, 1) AS p FROM t) GROUP BY t, x),
+tp AS (SELECT t, x, min(p) - 1 AS p FROM (SELECT t, unnest(kw) AS x, kat + generate_subscripts(kw, 1) AS p FROM t) GROUP BY t, x),
 dw AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS i FROM d),
 hit AS (SELECT dw.* FROM dw WHERE x IN (SELECT x FROM tp)),
 df AS (SELECT x, count(DISTINCT r) AS n FROM hit GROUP BY x),
