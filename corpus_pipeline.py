@@ -4,8 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import mixing, token_files
-from shelfwise.llm.common import stored
+from shelfwise.llm import decontamination, mixing, simhash, token_files, toxicity
+from shelfwise.llm.common import stored, table
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the toxicity model rejects."""
+    model = toxicity.trained(spark, table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.drop_toxic(docs, model)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a test item."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +34,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_files.token_table(docs)
 
 
-STAGES = [("mixing", mix), ("token files", tokens)]
+STAGES = [("toxicity", clean), ("near duplicates", dedup), ("decontamination", decontaminate), ("mixing", mix), ("token files", tokens)]
 ORACLE_SQL = None
 
 

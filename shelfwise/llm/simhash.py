@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm.common import Words, bounded, drop_stored, hash_strings, stored, table
+from shelfwise.llm.common import Words, bounded, hash_strings, stored, table
 from shelfwise.llm.components import components
 
 SHINGLE = 3
@@ -163,6 +163,67 @@ def linked(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return prints.join(members.join(whole, "root").select("fp", "component_id"), "fp")
 
 
+STAGE_SHINGLE = 5
+STAGE_RADIUS = 6
+SIMILARITY = 0.8
+
+
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``docs(component, doc_id, row, text)`` with the text replaced by the set of its shingles' hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, most=2 << 20):
+            hashes, counts = shingle_hashes(Words(batch.column("text"), lower=True), size)
+            sets = [np.unique(h).view(np.int64) for h in np.split(hashes, np.cumsum(counts)[:-1])] if len(counts) else []
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("component", "doc_id", "row")), pa.array(sets, pa.list_(pa.int64()))], names=["component", "doc_id", "row", "shingles"])
+
+    return docs.select("component", "doc_id", "row", "text").mapInArrow(run, "component long, doc_id long, row long, shingles array<long>")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int = STAGE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    """The ``row`` names of ``docs(doc_id, text, row)`` that repeat a kept row.
+
+    SimHash over the distinct words proposes groups, a generous net for texts
+    that differ in a few words; five-word shingles decide. In every round the
+    first row (by id, null ids last) of each group stays and rows with a Jaccard
+    similarity of ``similarity`` or more to it go; what is left forms the next
+    round's groups, until nothing is left.
+    """
+    names = docs.select(F.col("row").alias("doc_id"), "text")
+    groups = stored(linked(fingerprints(names, None), radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")).distinct(), "groups")
+    several = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    members = stored(shingle_sets(docs.dropDuplicates(["row"]).join(groups.join(several, "component"), "row"), shingle), "members")
+    gone = None
+    while not members.isEmpty():
+        first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
+        leaders = members.groupBy("component").agg(F.min_by("row", first).alias("leader"))
+        sets = members.select(F.col("component").alias("c"), F.col("row").alias("leader"), F.col("shingles").alias("own")).join(leaders.withColumnRenamed("component", "c"), ["c", "leader"])
+        rest = members.join(sets, members["component"] == sets["c"]).where("row <> leader")
+        both, either = F.size(F.array_intersect("shingles", "own")), F.size(F.array_union("shingles", "own"))
+        rest = stored(rest.select("component", "doc_id", "row", "shingles", F.when(either == 0, 1.0).otherwise(both / either).alias("same")), "members")
+        found = rest.where(F.col("same") >= similarity).select("row")
+        gone = found if gone is None else gone.unionByName(found)
+        members = rest.where(F.col("same") < similarity).drop("same")
+    return gone if gone is not None else groups.where("false").select("row")
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with all its columns and one row of each group of near duplicates.
+
+    Rows that agree in every column are one group; texts without words are equal
+    to each other.
+    """
+    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"), row.alias("_row"))
+    plain = packed.select(F.col(f"_all.`{doc_id}`").cast("long").alias("doc_id"), F.col(f"_all.`{text}`").alias("text"), F.col("_row").alias("row"))
+    gone = stored(near_duplicates(plain).withColumnRenamed("row", "_row"), "gone")
+    kept = packed.join(gone, "_row", "left_anti")
+    again = packed.groupBy("_row").count().where("count > 1").select("_row")
+    if not again.isEmpty():
+        kept = kept.join(again, "_row", "left_anti").unionByName(kept.join(again, "_row", "left_semi").dropDuplicates(["_row"]))
+    return kept.select("_all.*")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: three-word shingles, three bits."""
     prints = stored(fingerprints(table(spark, sf_dir, "documents", "doc_id", "text")), "fingerprints")

@@ -132,16 +132,17 @@ def window_hashes(names: np.ndarray, starts: np.ndarray, window: int = WINDOW) -
 
 def packed(*columns: np.ndarray) -> bytes:
     """Columns behind a header of their lengths and types, compressed."""
-    head = np.array([[len(c), np.dtype(c.dtype).itemsize] for c in columns], "<i8").tobytes()
+    head = b"".join(len(c).to_bytes(4, "little") + c.dtype.itemsize.to_bytes(1, "little") for c in columns)
     raw = len(columns).to_bytes(1, "little") + head + b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes) -> list[np.ndarray]:
-    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
-    n, at = raw[0], 1 + 16 * raw[0]
+    raw = pa.decompress(data[4:], int.from_bytes(data[:4], "little"), "zstd", asbytes=True)
+    n, at = raw[0], 1 + 5 * raw[0]
     out = []
-    for length, width in np.frombuffer(raw, "<i8", 2 * n, 1).reshape(-1, 2):
+    for k in range(n):
+        length, width = int.from_bytes(raw[1 + 5 * k : 5 + 5 * k], "little"), raw[5 + 5 * k]
         out.append(np.frombuffer(raw, f"<u{width}", length, at))
         at += length * width
     return out
@@ -266,7 +267,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(64, math.ceil(size / min(max(size / 4096, 1 << 19), 1 << 28)))
+    buckets = max(64, math.ceil(size / min(max(size / 4096, 1 << 20), 1 << 28)))
     text_buckets = max(64, buckets // 4)
     places = repeated_places(rows, buckets, text_buckets, window)
 
