@@ -166,6 +166,7 @@ def linked(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 STAGE_SHINGLE = 5
 STAGE_RADIUS = 6
 SIMILARITY = 0.8
+GROUP = 500
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -180,6 +181,23 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("component", "doc_id", "row", "text").mapInArrow(run, "component long, doc_id long, row long, shingles array<long>")
 
 
+def repeats_in_group(group: pd.DataFrame, similarity: float) -> list[int]:
+    """The rows of one small group that repeat an earlier row that stays."""
+    ordered = group.assign(none=group["doc_id"].isna()).sort_values(["none", "doc_id", "row"])
+    kept: list[np.ndarray] = []
+    gone = []
+    for row, own in zip(ordered["row"], ordered["shingles"]):
+        for other in kept:
+            both = len(np.intersect1d(own, other, assume_unique=True))
+            either = len(own) + len(other) - both
+            if either == 0 or both / either >= similarity:
+                gone.append(row)
+                break
+        else:
+            kept.append(own)
+    return gone
+
+
 def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int = STAGE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """The ``row`` names of ``docs(doc_id, text, row)`` that repeat a kept row.
 
@@ -187,14 +205,25 @@ def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int =
     that differ in a few words; five-word shingles decide. In every round the
     first row (by id, null ids last) of each group stays and rows with a Jaccard
     similarity of ``similarity`` or more to it go; what is left forms the next
-    round's groups, until nothing is left.
+    round's groups, until nothing is left. Groups of at most ``GROUP`` rows go
+    through the same steps inside one task.
     """
+
+    def settle(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"row": np.array(repeats_in_group(group, similarity), np.int64)})
+
     names = docs.select(F.col("row").alias("doc_id"), "text")
     groups = stored(linked(fingerprints(names, None), radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")).distinct(), "groups")
     several = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
     members = stored(shingle_sets(docs.dropDuplicates(["row"]).join(groups.join(several, "component"), "row"), shingle), "members")
     gone = None
     while not members.isEmpty():
+        sizes = members.groupBy("component").agg(F.count("*").alias("n"))
+        small = stored(members.join(sizes.where(F.col("n") <= GROUP).select("component"), "component").groupBy("component").applyInPandas(settle, "row long"), "small")
+        gone = small if gone is None else gone.unionByName(small)
+        members = stored(members.join(sizes.where(F.col("n") > GROUP).select("component"), "component"), "members")
+        if members.isEmpty():
+            break
         first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
         leaders = members.groupBy("component").agg(F.min_by("row", first).alias("leader"))
         sets = members.select(F.col("component").alias("c"), F.col("row").alias("leader"), F.col("shingles").alias("own")).join(leaders.withColumnRenamed("component", "c"), ["c", "leader"])
@@ -202,7 +231,7 @@ def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int =
         both, either = F.size(F.array_intersect("shingles", "own")), F.size(F.array_union("shingles", "own"))
         rest = stored(rest.select("component", "doc_id", "row", "shingles", F.when(either == 0, 1.0).otherwise(both / either).alias("same")), "members")
         found = rest.where(F.col("same") >= similarity).select("row")
-        gone = found if gone is None else gone.unionByName(found)
+        gone = gone.unionByName(found)
         members = rest.where(F.col("same") < similarity).drop("same")
     return gone if gone is not None else groups.where("false").select("row")
 
