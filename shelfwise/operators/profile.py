@@ -105,7 +105,7 @@ def missing_report(df: DataFrame) -> DataFrame:
 def missing_required(df: DataFrame, required: list[str]) -> DataFrame:
     """Required columns with any missing value."""
     return missing_report(df).where(
-        F.col("column").isin(required) & (F.col("missing_percentage") > 0)
+        F.col("column").isin(required) & (F.col("missing_count") > 0)
     )
 
 

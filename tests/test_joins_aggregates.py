@@ -185,3 +185,10 @@ def test_hot_book_is_split_in_the_join(spark, capsys, monkeypatch, how, minimum,
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_few_missing_values_among_many_are_reported(spark):
+    from shelfwise.operators import profile
+
+    rows = spark.range(1_000_000).selectExpr("if(id < 4, null, id) AS k")
+    assert profile.missing_required(rows, ["k"]).first().missing_count == 4
