@@ -100,7 +100,7 @@ def stratified_sample(
 
 
 def undersample(
-    df: DataFrame, by: str = S.TARGET, cap: int = 1000, key: list[str] | None = None, seed: int = 42
+    df: DataFrame, by: str, cap: int, key: list[str] | None = None, seed: int = 42
 ) -> DataFrame:
     """At most ``cap`` rows of every class (the class balancing feature)."""
     quotas = class_sizes(df, by).select(by, F.least("n", F.lit(cap).cast("bigint")).alias("upto"))
@@ -108,7 +108,7 @@ def undersample(
 
 
 def undersample_to_share(
-    df: DataFrame, by: str = S.TARGET, share: float = 0.1, key: list[str] | None = None, seed: int = 42
+    df: DataFrame, by: str, share: float, key: list[str] | None = None, seed: int = 42
 ) -> DataFrame:
     """Classes above the given share of all rows cut down to it."""
     sizes = class_sizes(df, by)
