@@ -125,21 +125,26 @@ def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Edges ``(a, b)`` that connect all distinct fingerprints ``nodes(fp)`` within ``radius`` bits."""
+    """Edges ``(a, b)`` that connect all distinct fingerprints ``nodes(fp)`` within ``radius`` bits.
 
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        if len(group) < 2:
-            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-        a, b = forest(np.sort(group["fp"].to_numpy()).view(np.uint64), radius)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+    Fingerprints that agree under one mask mostly agree under many: buckets with
+    the same members are one before any pair is looked at.
+    """
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [forest(fps.view(np.uint64), radius) for fps in batch.column("fps").to_numpy(zero_copy_only=False)]
+            a, b = (np.concatenate([f[side] for f in found] or [np.empty(0, np.uint64)]).view(np.int64) for side in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     edges, level = None, 0
     rows = covered(nodes, radius, 0, [])
     while True:
         sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        large = sizes.where(F.col("n") > BUCKET).select("bucket") if level < LEVELS else sizes.where("false").select("bucket")
         rows = stored(rows.join(sizes, "bucket"), "buckets")
-        found = rows.where(F.col("n") <= BUCKET if level < LEVELS else F.lit(True)).select("bucket", "fp").groupBy("bucket").applyInPandas(pairs, "a long, b long")
+        ready = rows.where(F.col("n") <= BUCKET if level < LEVELS else F.lit(True))
+        members = ready.groupBy("bucket").agg(F.sort_array(F.collect_list("fp")).alias("fps")).select("fps").distinct()
+        found = members.mapInArrow(pairs, "a long, b long")
         edges = found if edges is None else edges.unionByName(found)
         over = rows.where(F.col("n") > BUCKET).select("fp", "bucket")
         if level >= LEVELS or over.isEmpty():
