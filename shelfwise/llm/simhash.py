@@ -172,6 +172,8 @@ STAGE_SHINGLE = 5
 STAGE_RADIUS = 6
 SIMILARITY = 0.8
 GROUP = 500
+GROUP_SHINGLES = 4_000_000
+ROUNDS = 6
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -186,59 +188,106 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("component", "doc_id", "row", "text").mapInArrow(run, "component long, doc_id long, row long, shingles array<long>")
 
 
-def repeats_in_group(group: pd.DataFrame, similarity: float) -> list[int]:
-    """The rows of one small group that repeat an earlier row that stays."""
-    ordered = group.assign(none=group["doc_id"].isna()).sort_values(["none", "doc_id", "row"])
-    kept: list[np.ndarray] = []
-    gone = []
-    for row, own in zip(ordered["row"], ordered["shingles"]):
-        for other in kept:
-            both = len(np.intersect1d(own, other, assume_unique=True))
-            either = len(own) + len(other) - both
-            if either == 0 or both / either >= similarity:
-                gone.append(row)
-                break
-        else:
-            kept.append(own)
-    return gone
+def alike(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Which pairs of a bounded list of sets have a Jaccard similarity of ``similarity`` or more."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    _, name, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[name] > 1
+    column, name = np.unique(name[shared], return_inverse=True)
+    order = np.argsort(name, kind="stable")
+    owner, name = np.repeat(np.arange(n), sizes)[shared][order], name[order]
+    both = np.zeros((n, n))
+    for start in range(0, len(column), 4096):
+        a, b = np.searchsorted(name, [start, start + 4096])
+        held = np.zeros((n, min(4096, len(column) - start)), np.float32)
+        held[owner[a:b], name[a:b] - start] = 1
+        both += held @ held.T
+    either = sizes[:, None] + sizes - both
+    near = np.where(either == 0, 1.0, both / np.maximum(either, 1)) >= similarity
+    np.fill_diagonal(near, True)
+    return near
+
+
+def classes(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the smallest row it reaches."""
+    label = np.arange(len(near))
+    while True:
+        after = np.where(near, label, len(near)).min(1)
+        if (after == label).all():
+            return label
+        label = after
 
 
-def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int = STAGE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
-    """The ``row`` names of ``docs(doc_id, text, row)`` that repeat a kept row.
+SETTLED = "row long, lost long, leads boolean, none boolean, first_id long, first_row long"
 
-    SimHash over the distinct words proposes groups, a generous net for texts
-    that differ in a few words; five-word shingles decide. In every round the
-    first row (by id, null ids last) of each group stays and rows with a Jaccard
-    similarity of ``similarity`` or more to it go; what is left forms the next
-    round's groups, until nothing is left. Groups of at most ``GROUP`` rows go
-    through the same steps inside one task.
+
+def settled(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """One row per entry of a bounded group, as ``SETTLED``.
+
+    An entry stands for a class of rows seen to be alike, of which ``first_row``
+    stays. Classes linked here become one: its first row stays, the others are
+    ``lost``; the entry with most links ``leads``, that is, stands for all.
     """
+    group = group.sort_values(["none", "first_id", "first_row"]).reset_index(drop=True)
+    near = alike([np.asarray(s, np.int64) for s in group["shingles"]], similarity)
+    label, degree = classes(near), near.sum(1)
+    best = pd.DataFrame({"label": label, "degree": -degree}).sort_values(["label", "degree"], kind="stable").drop_duplicates("label").index
+    first = group.loc[label].reset_index(drop=True)
+    # Rows are in order, so the smallest row of a class is its first.
+    lost = group["first_row"].astype("Int64").mask(label == np.arange(len(group)))
+    return pd.DataFrame({"row": group["row"], "lost": lost, "leads": group.index.isin(best), "none": first["none"], "first_id": first["first_id"], "first_row": first["first_row"]})
 
-    def settle(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"row": np.array(repeats_in_group(group, similarity), np.int64)})
 
-    names = docs.select(F.col("row").alias("doc_id"), "text")
-    groups = stored(linked(fingerprints(names, None), radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")).distinct(), "groups")
+def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int = STAGE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    """The ``row`` names of ``docs(doc_id, text, row)`` that repeat a row that stays.
+
+    SimHash over the distinct words proposes groups, a generous net for texts
+    that differ in a few words; five-word shingles decide. Rows linked by a
+    Jaccard similarity of ``similarity`` or more, directly or over others, are
+    one class, and its first row (by id, null ids last) stays. Equal texts are
+    one entry from the start.
+
+    A group of up to ``GROUP`` entries and ``GROUP_SHINGLES`` shingles is settled
+    exactly, in one task. Larger ones are dealt into parts of that size, in each
+    of ``ROUNDS`` rounds by another min-hash, so that two entries of the wanted
+    similarity meet with a chance of 0.8 or more a round unless a part is full;
+    every part leaves one entry for each of its classes, until the group is small.
+    Rows that never meet all stay.
+    """
+    plain = docs.dropDuplicates(["row"])
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
+    body = F.coalesce("text", F.lit(""))
+    named = stored(plain.select("doc_id", "row", F.struct(F.xxhash64(body), F.crc32(body.cast("binary")), F.length(body)).alias("same")), "named")
+    firsts = stored(named.groupBy("same").agg(F.min(order).alias("o")).select("same", "o.row"), "firsts")
+    lost = named.join(firsts.withColumnRenamed("row", "kept"), "same").where("row <> kept").select("row")
+    names = plain.select(F.col("row").alias("doc_id"), "text")
+    groups = linked(fingerprints(names, None), radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    groups = stored(groups.join(firsts.select("row"), "row"), "groups")
     several = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    members = stored(shingle_sets(docs.dropDuplicates(["row"]).join(groups.join(several, "component"), "row"), shingle), "members")
-    gone = None
-    while not members.isEmpty():
-        sizes = members.groupBy("component").agg(F.count("*").alias("n"))
-        small = stored(members.join(sizes.where(F.col("n") <= GROUP).select("component"), "component").groupBy("component").applyInPandas(settle, "row long"), "small")
-        gone = small if gone is None else gone.unionByName(small)
-        members = stored(members.join(sizes.where(F.col("n") > GROUP).select("component"), "component"), "members")
-        if members.isEmpty():
-            break
-        first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
-        leaders = members.groupBy("component").agg(F.min_by("row", first).alias("leader"))
-        sets = members.select(F.col("component").alias("c"), F.col("row").alias("leader"), F.col("shingles").alias("own")).join(leaders.withColumnRenamed("component", "c"), ["c", "leader"])
-        rest = members.join(sets, members["component"] == sets["c"]).where("row <> leader")
-        both, either = F.size(F.array_intersect("shingles", "own")), F.size(F.array_union("shingles", "own"))
-        rest = stored(rest.select("component", "doc_id", "row", "shingles", F.when(either == 0, 1.0).otherwise(both / either).alias("same")), "members")
-        found = rest.where(F.col("same") >= similarity).select("row")
-        gone = gone.unionByName(found)
-        members = rest.where(F.col("same") < similarity).drop("same")
-    return gone if gone is not None else groups.where("false").select("row")
+    texts = plain.join(stored(groups.join(several, "component"), "wanted"), "row")
+    entries = shingle_sets(texts, shingle).select("component", "row", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("first_id"), F.col("row").alias("first_row"), "shingles")
+    entries = stored(entries, "entries")
+    for turn in range(ROUNDS + 1):
+        sizes = entries.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("total"))
+        is_large = (F.col("n") > GROUP) | (F.col("total") > GROUP_SHINGLES)
+        small = entries.join(sizes.where(~is_large).select("component"), "component")
+        done = stored(grouped(small, ["component"], similarity), "settled")
+        lost = lost.unionByName(done.where("lost is not null").select(F.col("lost").alias("row")))
+        entries = entries.join(sizes.where(is_large).select("component"), "component")
+        if turn == ROUNDS or entries.isEmpty():
+            return lost
+        drawn = F.array_min(F.transform("shingles", lambda h: F.xxhash64(h, F.lit(turn))))
+        dealt = stored(entries.withColumn("drawn", F.coalesce(drawn, F.lit(0))), "dealt")
+        loads = dealt.groupBy("component", "drawn").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum(F.size("shingles")) / GROUP_SHINGLES)).alias("parts"))
+        dealt = dealt.join(loads, ["component", "drawn"]).withColumn("part", F.pmod(F.xxhash64("row", F.lit(turn)), F.col("parts")))
+        done = stored(grouped(dealt, ["component", "drawn", "part"], similarity), "settled")
+        lost = lost.unionByName(done.where("lost is not null").select(F.col("lost").alias("row")))
+        leads = done.where("leads").select("row", "none", "first_id", "first_row")
+        entries = stored(dealt.select("component", "row", "shingles").join(leads, "row"), "entries")
+
+
+def grouped(entries: DataFrame, key: list[str], similarity: float) -> DataFrame:
+    return entries.groupBy(*key).applyInPandas(lambda group: settled(group, similarity), SETTLED)
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

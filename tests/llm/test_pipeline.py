@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -31,6 +32,36 @@ def test_near_duplicates_by_shingles(spark):
     assert len(kept - want) <= 2
 
 
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_alike_by_brute_force():
+    rng = random.Random(3)
+    pool = [{rng.randrange(9000) for _ in range(rng.choice([0, 5, 60, 6000]))} for _ in range(12)]
+    sets = [set(rng.sample(sorted(s), int(len(s) * rng.choice([0.75, 0.9, 1])))) for s in pool for _ in range(4)]
+    near = simhash.alike([np.array(sorted(s), np.int64) for s in sets], 0.8)
+    assert near.tolist() == [[a is b or jaccard(a, b) >= 0.8 for b in sets] for a in sets]
+    label, reach = simhash.classes(near), near
+    for _ in sets:
+        reach = reach @ near
+    assert label.tolist() == reach.argmax(1).tolist()
+
+
+def test_groups_beyond_one_task(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP", 10)
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(4000)}" for _ in range(400)]
+    rows = []
+    for i in range(60):
+        copy = list(words)
+        copy[rng.randrange(400)] = f"changed{i}"
+        rows.append((2**60 + i if i else None, " ".join(copy), "en", i, 0))
+    rows += [(5, " ".join(words), "x", i, 0) for i in range(30)] + [(1, "quite another text", "x", 0, 0)]
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 5]
+
+
 def test_no_rows(spark):
     assert simhash.drop_near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
