@@ -254,17 +254,18 @@ def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int =
     every part leaves one entry for each of its classes, until the group is small.
     Rows that never meet all stay.
     """
-    plain = docs.dropDuplicates(["row"])
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
     body = F.coalesce("text", F.lit(""))
-    named = stored(plain.select("doc_id", "row", F.struct(F.xxhash64(body), F.crc32(body.cast("binary")), F.length(body)).alias("same")), "named")
+    named = docs.select("doc_id", "row", F.struct(F.xxhash64(body), F.crc32(body.cast("binary")), F.length(body)).alias("same"))
+    named = stored(named.dropDuplicates(["row"]), "named")
     firsts = stored(named.groupBy("same").agg(F.min(order).alias("o")).select("same", "o.row"), "firsts")
     lost = named.join(firsts.withColumnRenamed("row", "kept"), "same").where("row <> kept").select("row")
-    names = plain.select(F.col("row").alias("doc_id"), "text")
-    groups = linked(fingerprints(names, None), radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
-    groups = stored(groups.join(firsts.select("row"), "row"), "groups")
+    # Texts are read where they lie; only fingerprints and the texts of groups are shuffled.
+    prints = fingerprints(docs.select(F.col("row").alias("doc_id"), "text"), None).dropDuplicates(["doc_id"])
+    prints = stored(prints.join(firsts.select(F.col("row").alias("doc_id")), "doc_id"), "prints")
+    groups = stored(linked(prints, radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "groups")
     several = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    texts = plain.join(stored(groups.join(several, "component"), "wanted"), "row")
+    texts = docs.join(stored(groups.join(several, "component"), "wanted"), "row").dropDuplicates(["row"])
     entries = shingle_sets(texts, shingle).select("component", "row", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("first_id"), F.col("row").alias("first_row"), "shingles")
     entries = stored(entries, "entries")
     for turn in range(ROUNDS + 1):
