@@ -16,7 +16,9 @@ pairs, so links grow with the nodes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -174,6 +176,9 @@ SIMILARITY = 0.8
 GROUP = 500
 GROUP_SHINGLES = 4_000_000
 ROUNDS = 6
+SAMPLE = 16
+OFTEN = 4
+COMMON = 100_000
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -241,25 +246,25 @@ def settled(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int = STAGE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """The ``row`` names of ``docs(doc_id, text, row)`` that repeat a row that stays.
 
-    SimHash over the distinct words proposes groups, a generous net for texts
-    that differ in a few words; five-word shingles decide. Rows linked by a
+    SimHash over the distinct words proposes groups of texts that differ in a
+    few words, shared prefix shingles all other pairs; five-word shingles decide. Rows linked by a
     Jaccard similarity of ``similarity`` or more, directly or over others, are
     one class, and its first row (by id, null ids last) stays. Equal texts are
     one entry from the start.
 
     A group of up to ``GROUP`` entries and ``GROUP_SHINGLES`` shingles is settled
-    exactly, in one task. Larger ones are dealt into parts of that size, in each
-    of ``ROUNDS`` rounds by another min-hash, so that two entries of the wanted
+    in one task. Larger ones are dealt into parts of that size, in each of
+    ``ROUNDS`` rounds by another min-hash, so that two entries of the wanted
     similarity meet with a chance of 0.8 or more a round unless a part is full;
     every part leaves one entry for each of its classes, until the group is small.
-    Rows that never meet all stay.
+    This only saves work: ``all_linked`` then finds every pair that is left.
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
     body = F.coalesce("text", F.lit(""))
     named = docs.select("doc_id", "row", F.struct(F.xxhash64(body), F.crc32(body.cast("binary")), F.length(body)).alias("same"))
     named = stored(named.dropDuplicates(["row"]), "named")
-    firsts = stored(named.groupBy("same").agg(F.min(order).alias("o")).select("same", "o.row"), "firsts")
-    lost = named.join(firsts.withColumnRenamed("row", "kept"), "same").where("row <> kept").select("row")
+    firsts = stored(named.groupBy("same").agg(F.min(order).alias("o")).select("same", "o.row", "o"), "firsts")
+    lost = named.join(firsts.select("same", F.col("row").alias("kept")), "same").where("row <> kept").select("row")
     # Texts are read where they lie; only fingerprints and the texts of groups are shuffled.
     prints = fingerprints(docs.select(F.col("row").alias("doc_id"), "text"), None).dropDuplicates(["doc_id"])
     prints = stored(prints.join(firsts.select(F.col("row").alias("doc_id")), "doc_id"), "prints")
@@ -268,23 +273,98 @@ def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int =
     texts = docs.join(stored(groups.join(several, "component"), "wanted"), "row").dropDuplicates(["row"])
     entries = shingle_sets(texts, shingle).select("component", "row", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("first_id"), F.col("row").alias("first_row"), "shingles")
     entries = stored(entries, "entries")
+    seen = []
     for turn in range(ROUNDS + 1):
         sizes = entries.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("total"))
         is_large = (F.col("n") > GROUP) | (F.col("total") > GROUP_SHINGLES)
         small = entries.join(sizes.where(~is_large).select("component"), "component")
         done = stored(grouped(small, ["component"], similarity), "settled")
-        lost = lost.unionByName(done.where("lost is not null").select(F.col("lost").alias("row")))
+        seen.append(done.where("lost is not null").select(F.col("lost").alias("a"), F.col("first_row").alias("b")))
         entries = entries.join(sizes.where(is_large).select("component"), "component")
         if turn == ROUNDS or entries.isEmpty():
-            return lost
+            break
         drawn = F.array_min(F.transform("shingles", lambda h: F.xxhash64(h, F.lit(turn))))
         dealt = stored(entries.withColumn("drawn", F.coalesce(drawn, F.lit(0))), "dealt")
         loads = dealt.groupBy("component", "drawn").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum(F.size("shingles")) / GROUP_SHINGLES)).alias("parts"))
         dealt = dealt.join(loads, ["component", "drawn"]).withColumn("part", F.pmod(F.xxhash64("row", F.lit(turn)), F.col("parts")))
         done = stored(grouped(dealt, ["component", "drawn", "part"], similarity), "settled")
-        lost = lost.unionByName(done.where("lost is not null").select(F.col("lost").alias("row")))
+        seen.append(done.where("lost is not null").select(F.col("lost").alias("a"), F.col("first_row").alias("b")))
         leads = done.where("leads").select("row", "none", "first_id", "first_row")
         entries = stored(dealt.select("component", "row", "shingles").join(leads, "row"), "entries")
+    roots = all_linked(docs, firsts.select("row"), reduce(DataFrame.unionByName, seen), shingle, similarity)
+    members = stored(roots.join(firsts.select(F.col("row").alias("node"), "o"), "node"), "members")
+    stays = members.groupBy("root").agg(F.min("o").alias("kept"))
+    return lost.unionByName(members.join(stays, "root").where("o <> kept").select(F.col("node").alias("row")))
+
+
+def frequent(sets: DataFrame) -> np.ndarray:
+    """The commonest shingles in a sample of the sets, commonest last.
+
+    Prefixes are in this order, the others first. Any order finds the same pairs;
+    this one keeps passages that many texts share out of the prefixes.
+    """
+    drawn = sets.select(F.explode("shingles").alias("h")).groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
+    return np.array([r.h for r in drawn.orderBy(F.desc("n"), "h").limit(COMMON).collect()][::-1], np.int64)
+
+
+def prefixes(docs: DataFrame, size: int, similarity: float, common: np.ndarray) -> DataFrame:
+    """``docs(row, text)`` as ``size`` of its shingle set and the set's ``prefix``.
+
+    Of two sets with the wanted similarity, one of the first
+    ``n - ceil(similarity * n) + 1`` shingles of each, in any one order, is in both.
+    """
+    names = np.argsort(common)
+    shared = docs.sparkSession.sparkContext.broadcast((common[names], names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, place = shared.value
+        for batch in bounded(batches, most=2 << 20):
+            hashes, counts = shingle_hashes(Words(batch.column("text"), lower=True), size)
+            sizes, out = [], []
+            for h in np.split(hashes.view(np.int64), np.cumsum(counts)[:-1]) if len(counts) else []:
+                h = np.unique(h)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    h = h[np.argsort(np.where(known[at] == h, place[at] + 1, 0), kind="stable")]
+                sizes.append(len(h))
+                out.append(h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["row", "size", "prefix"])
+
+    return docs.select("row", "text").mapInArrow(run, "row long, size long, prefix array<long>")
+
+
+def all_linked(docs: DataFrame, rows: DataFrame, edges: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``(node, root)`` of ``rows`` joined by ``edges(a, b)`` or by any pair of the wanted similarity.
+
+    Pairs that ``edges`` join already need no look. The others that share a
+    prefix shingle are compared in full: first every row with the smallest one
+    of each of its shingles, then all that are still apart.
+    """
+    sample = docs.join(rows.where(F.pmod(F.xxhash64("row"), F.lit(SAMPLE)) == 0), "row").select(F.lit(0).cast("long").alias("component"), "doc_id", "row", "text")
+    common = frequent(shingle_sets(sample, shingle))
+    short = stored(prefixes(docs, shingle, similarity, common).join(rows, "row"), "prefixes")
+    bare = short.where("size = 0").select("row")
+    edges = edges.unionByName(bare.crossJoin(bare.agg(F.min("row").alias("least"))).select(F.col("row").alias("a"), F.col("least").alias("b")))
+    for star in (True, False):
+        roots = stored(components(edges), "roots")
+        classed = short.join(roots.withColumnRenamed("node", "row"), "row", "left").select("row", "size", "prefix", F.coalesce("root", "row").alias("class"))
+        several = classed.select("row", "class", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("row").alias("least")).where("low <> high").select("h", "least")
+        spread = classed.select("row", "size", "class", F.posexplode("prefix").alias("at", "h"))
+        left = stored(spread.join(several, "h"), "shared")
+        right = left.select("h", *[F.col(c).alias(f"{c}2") for c in ("row", "size", "class", "at")])
+        met = left.join(right.join(several.withColumnRenamed("least", "row2"), ["h", "row2"]) if star else right, "h").where("row > row2 and class <> class2")
+        # A pair's first common shingle leaves it at most so many more; the others may be too few.
+        most = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
+        met = met.where(most >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
+        pairs = stored(met.select(F.col("row").alias("a"), F.col("row2").alias("b")).distinct(), "candidates")
+        wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
+        texts = docs.join(wanted, "row").dropDuplicates(["row"]).withColumn("component", F.lit(0).cast("long"))
+        sets = stored(shingle_sets(texts, shingle).select("row", "shingles"), "sets")
+        both = pairs.join(sets.select(F.col("row").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("row").alias("b"), F.col("shingles").alias("y")), "b")
+        common_size = F.size(F.array_intersect("x", "y"))
+        near = both.where(common_size / (F.size("x") + F.size("y") - common_size) >= similarity).select("a", "b")
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(stored(near, "near"))
+    return components(edges)
 
 
 def grouped(entries: DataFrame, key: list[str], similarity: float) -> DataFrame:

@@ -62,6 +62,45 @@ def test_groups_beyond_one_task(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept) == [1, 5]
 
 
+def brute(rows, size=5):
+    """The smallest id of every group of texts linked by a Jaccard similarity of 0.8, from all pairs."""
+    words = [t.lower().split() for _, t, *_ in rows]
+    sets = [{tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set() for w in words]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if label[i] != label[j] and (a := jaccard(sets[i], sets[j])) >= 0.8:
+                label = [label[j] if x == label[i] else x for x in label]
+    return sorted({min(r[0] for r, x in zip(rows, label) if x == own) for own in label})
+
+
+def edited(rng, words):
+    """Scattered words, one passage or the tail replaced, near the limit of 0.8."""
+    copy, n = list(words), len(words)
+    kind = rng.randrange(3)
+    if kind == 0:
+        for k in rng.sample(range(n), max(1, n // 60)):
+            copy[k] = f"new{rng.randrange(9999)}"
+    elif kind == 1:
+        a = rng.randrange(n - n // 11)
+        copy[a : a + n // 12] = [f"new{rng.randrange(9999)}" for _ in range(n // 12)]
+    else:
+        copy += [f"new{rng.randrange(9999)}" for _ in range(rng.randrange(n // 6, n // 4 + 2))]
+    return copy
+
+
+def test_all_pairs_by_brute_force(spark):
+    rng = random.Random(21)
+    rows = []
+    footer = [f"footer{k}" for k in range(30)]
+    for _ in range(50):
+        words = [f"w{int(rng.paretovariate(0.6)) % 5000}" for _ in range(rng.choice([40, 120, 400]))] + footer
+        for copy in [words] + [edited(rng, words) for _ in range(rng.choice([0, 1, 2]))]:
+            rows.append((len(rows), " ".join(copy), "en", 0, 0))
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert sorted(r.doc_id for r in got) == brute(rows)
+
+
 def test_no_rows(spark):
     assert simhash.drop_near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
