@@ -123,3 +123,19 @@ def test_run(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     total = out.agg(F.sum("n_tokens"), F.max(F.col("start") + F.col("n_tokens"))).first()
     assert total[0] == total[1] > 0
+
+
+def test_large_groups_by_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "GROUP", 4)
+    rng = random.Random(5)
+    rows = []
+    for _ in range(8):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        # A chain: neighbours are alike, its ends are not.
+        for k in range(14):
+            rows.append((len(rows), " ".join(words), "en", 0, 0))
+            words[k * 20 : k * 20 + 20] = [f"new{rng.randrange(9999)}" for _ in range(20)]
+    rows += [(len(rows) + k, t, "en", 0, 0) for k, t in enumerate(["", " ", "\n", "\t", "  ", " \n", "\n\n"])]
+    rng.shuffle(rows)
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert sorted(r.doc_id for r in got) == brute(rows)
