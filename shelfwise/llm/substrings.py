@@ -35,6 +35,7 @@ from shelfwise.llm.common import Words, bounded, fast_hashes, hash_strings, join
 
 WINDOW = 13
 ROUNDS = 2
+LONGEST = (1 << 16) - 1
 
 
 def recompress(names: np.ndarray, first: np.ndarray, last: np.ndarray, low: np.ndarray, high: np.ndarray, doc: np.ndarray, level: int):
@@ -180,14 +181,20 @@ def emit_places(rows: np.ndarray, places: np.ndarray, lengths: np.ndarray, bucke
 
 
 def stretches_of(starts: np.ndarray, doc: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Heads and lengths of the stretches of windows that follow each other and agree in ``same``."""
+    """Heads and lengths of the stretches of windows that follow each other and agree in ``same``.
+
+    Lengths travel in 16 bits, so longer stretches are cut into several.
+    """
     if not len(starts):
         return np.empty(0, np.int64), np.empty(0, np.int64)
     cut = (np.diff(starts) != 1) | (np.diff(doc) != 0)
     for s in same:
         cut |= s[1:] != s[:-1]
     heads = np.concatenate([[0], np.flatnonzero(cut) + 1])
-    return heads, np.diff(np.append(heads, len(starts)))
+    lengths = np.diff(np.append(heads, len(starts)))
+    pieces = -(-lengths // LONGEST)
+    at = ragged(np.zeros(len(heads), np.int64), pieces) * LONGEST
+    return np.repeat(heads, pieces) + at, np.minimum(np.repeat(lengths, pieces) - at, LONGEST)
 
 
 def repeated_places(docs: DataFrame, buckets: int, text_buckets: int, window: int = WINDOW) -> DataFrame:

@@ -52,6 +52,16 @@ def test_against_brute_force(spark, small):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in got), key=repr) == brute(rows)
 
 
+def test_long_stretches_against_brute_force(spark):
+    rng = random.Random(12)
+    passages = [" ".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(20)]
+    rows = [(1, "x " * 70000), (2, "start " + "x " * 70000), (3, "a b " * 70000), (4, "c " + "a b " * 70000)]
+    rows += [(10 + k, f"{p} end{k} " + "x " * 20 + "a b " * 20) for k, p in enumerate(passages * 2)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)
+    got = substrings.without_repeats(docs).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in got), key=repr) == brute(rows)
+
+
 def test_equal_windows_have_equal_anchors():
     rng = random.Random(8)
     for alphabet in ("ab", "abcdefghijklmnopqrstuvwxyz"):
