@@ -7,8 +7,9 @@ threshold serves all. A block's commonest words are set aside as long as they
 alone can't lift any of its items to the threshold; a passage is looked at in a
 block only where the block maxima of its other words, plus what the words set
 aside could add at most, reach the threshold. Items of the blocks left are
-scored exactly; those at or above the threshold are verified by the five-word
-shingles of their question and answer.
+scored exactly; those at or above the threshold are verified by their five-word
+shingles: ``OVERLAP`` of all shingles of the item, whichever part of it is missing,
+or of both its question and its answer, which may stand apart.
 
 Passages are windows of two strides, a stride being at least the length of the
 block's longest item, so every item that stands in a text stands whole in some
@@ -98,7 +99,7 @@ def build_index(items: list[tuple], threshold: float = THRESHOLD) -> dict:
                 "impact": np.array([v for p in postings for _, v in p]),
             }
         )
-    return {"vocabulary": vocabulary, "impacts": impacts, "blocks": blocks, "items": [i for i, _, _ in split], "question": [shingles(q) for _, q, _ in split], "answer": [shingles(a) for _, _, a in split], "threshold": threshold}
+    return {"vocabulary": vocabulary, "impacts": impacts, "blocks": blocks, "items": [i for i, _, _ in split], "question": [shingles(q) for _, q, _ in split], "answer": [shingles(a) for _, _, a in split], "whole": [shingles(d) for d in docs], "threshold": threshold}
 
 
 def retrieve(index: dict, words: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
@@ -157,9 +158,10 @@ def matches(index: dict, texts: pa.Array, overlap: float = OVERLAP) -> dict[tupl
     offsets = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=len(texts)))])
     out: dict[tuple[int, int], tuple[float, float, float]] = {}
     for d, i, a, b, score in retrieve(index, ids, offsets):
-        here = shingles_of(flat.take(pa.array(source[a:b])).to_pylist(), index["question"][i] | index["answer"][i])
-        share = [len(part & here) / len(part) if part else 1.0 for part in (index["question"][i], index["answer"][i])]
-        if min(share) >= overlap:
+        parts = [index[name][i] for name in ("question", "answer", "whole")]
+        here = shingles_of(flat.take(pa.array(source[a:b])).to_pylist(), set().union(*parts))
+        *share, whole = [len(part & here) / len(part) if part else 1.0 for part in parts]
+        if whole >= overlap or min(share) >= overlap:
             out[d, i] = max(out.get((d, i), (0.0, 0.0, 0.0)), (score, *share))
     return out
 

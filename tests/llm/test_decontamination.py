@@ -51,6 +51,21 @@ def test_finds_every_embedded_item(spark, tables):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted((d[0] for d in docs if d[0] not in bad), key=repr)
 
 
+def test_items_without_or_with_another_last_sentence(spark):
+    rng = random.Random(31)
+    questions = {i: sentence(rng, rng.choice([30, 55])) for i in range(40)}
+    items = [(i, f"{q}. Yes w{i} surely.", "z") for i, q in questions.items()]
+    docs, want = [], []
+    for i, q in questions.items():
+        half = " ".join(q.split()[: len(q.split()) * 2 // 5])
+        for k, held in enumerate([q, f"{q}. Yes w{i} maybe.", f"{q}. Yes w{i} surely.", half, f"{half}. Yes w{i} surely."]):
+            docs.append((10 * i + k, f"{sentence(rng, 40)}. {held}. {sentence(rng, 40)}", "a", 1))
+            want += [(10 * i + k, i)] * (k < 3)
+    got = dc.contaminated(spark.createDataFrame(docs, SCHEMA).repartition(3), spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == want
+    assert all((r.answer_overlap == 1.0) == (r.doc_id % 10 == 2) for r in got)
+
+
 def test_retrieval_equals_scoring_every_passage(tables):
     docs, items = tables
     index = dc.build_index([i for i in items if i[0] is not None])
