@@ -21,8 +21,10 @@ def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     words = np.packbits(bits, bitorder="little").view("<u8")
     zeros = np.concatenate([[0], np.cumsum(64 - np.bitwise_count(words).astype(np.int64))]).astype("<u4")
     low = rest & np.uint64((1 << width) - 1)
-    planes = ((low[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8) if width else np.zeros((n, 0), np.uint8)
-    packed = np.append(np.packbits(planes.ravel(), bitorder="little"), np.zeros(16, np.uint8))
+    # In pieces of whole bytes: a plane of bits takes many times the room of its number.
+    places = np.arange(width, dtype=np.uint64)
+    planes = [np.packbits(((low[a : a + 65536, None] >> places) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little") for a in range(0, n, 65536)] if width else []
+    packed = np.concatenate([*planes, np.zeros(16, np.uint8)])
     return {"head": np.array([n, base, width], "<u8"), "words": words, "zeros": zeros, "low": packed}
 
 

@@ -7,13 +7,13 @@ successor's number, a monotone sequence in which a context's successors are one
 range. Every node keeps its count and its smoothed probability in eight bits.
 
 Counts are sums over the whole corpus. Levels 2 and 3 keep n-grams that occur
-``LEAST`` times or more, and a longer n-gram is counted only where both n-grams
-of the level below are kept, which loses none of them. Every level is sorted by
+``LEAST`` times or more, at 1 all of them, so that the probabilities after a
+context sum to one. Every level is sorted by
 range partitioning and written in blocks, one flat file per array, which workers
 map into memory; the driver holds the first key and size of each block.
 
 An n-gram's probability mixes its relative frequency with the probability after
-a shorter context; where a context was never kept, the shorter one speaks alone.
+a shorter context; where a context was never seen, the shorter one speaks alone.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfwise.llm import eliasfano
 from shelfwise.llm.common import Words, bounded, hash_strings, held_out, map_array, shared_path, table, write_bytes
 
-LEAST = 2
+LEAST = 1
 ORDER = 3
 WEIGHT = 0.6
 END = np.uint64(0x5B1CE5A1F00D0E2D)  # the end's name among word hashes

@@ -65,6 +65,23 @@ def test_scores_against_counts(spark):
         assert abs(r.score - want[r.doc_id]) <= lm.QUANTUM * r.n_tokens + 1e-6
 
 
+def test_ngrams_that_occur_once(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(8))) for i in range(20)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)
+    got = lm.score(docs, lm.trained(docs)).collect()
+    # Every word and n-gram occurs once, the end twenty times; 180 tokens, 161 words.
+    once, end = 1.5 / (180 + 0.5 * 162), 20.5 / (180 + 0.5 * 162)
+    after = lambda p, n: p if n == 0 else lm.WEIGHT + (1 - lm.WEIGHT) * after(p, n - 1)
+    want = sum(math.log10(after(end if k == 8 else once, min(k, 2))) for k in range(9))
+    assert len(got) == 20 and all(abs(r.score - want) <= lm.QUANTUM * 9 for r in got)
+
+
+def test_elias_fano_in_pieces():
+    values = np.unique(np.random.default_rng(4).integers(0, 2**50, 150_000, np.uint64))
+    code = eliasfano.encode(values)
+    assert (eliasfano.find(code, values) == np.arange(len(values))).all()
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b", "x", 1)], SCHEMA)
     trie = lm.trained(docs.where("false"))
