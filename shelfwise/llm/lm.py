@@ -4,7 +4,8 @@ Level 1 holds the hashes of all training words in order, so a word's number is
 its rank. Level n holds, for every node of the level below that has them, its
 successors: the number of the context's node times the vocabulary plus the
 successor's number, a monotone sequence in which a context's successors are one
-range. Every node keeps its count and its smoothed probability in eight bits.
+range. Every node keeps its smoothed probability in eight bits and its count, in 32 bits
+or, in blocks with larger counts, 64.
 
 Counts are sums over the whole corpus. Levels 2 and 3 keep n-grams that occur
 ``LEAST`` times or more, at 1 all of them, so that the probabilities after a
@@ -55,7 +56,8 @@ class Level:
 
     def block(self, k: int) -> dict[str, np.ndarray]:
         if k not in self.open:
-            self.open[k] = {name: map_array(f"{self.blocks[k]['file']}.{name}", kind) for name, kind in ARRAYS.items()}
+            kinds = ARRAYS | {"count": self.blocks[k]["count"]}
+            self.open[k] = {name: map_array(f"{self.blocks[k]['file']}.{name}", kind) for name, kind in kinds.items()}
         return self.open[k]
 
     def find(self, keys: np.ndarray, payload: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,12 +146,13 @@ def add_level(counts: DataFrame, levels: list[Level], folder: str) -> Level:
             share = n / np.maximum(by_number(levels[-1], context, "count"), 1)
             prob = quantised(np.log10(WEIGHT * share + (1 - WEIGHT) * p))
         stem = f"{folder}/level{len(levels) + 1}-{uuid.uuid4().hex}"
-        arrays = {**eliasfano.encode(keys), "count": np.minimum(n, (1 << 32) - 1).astype("<u4"), "prob": prob}
-        for name, kind in ARRAYS.items():
+        arrays = {**eliasfano.encode(keys), "count": n, "prob": prob}
+        kinds = ARRAYS | {"count": "<u4" if n.max() < 1 << 32 else "<u8"}
+        for name, kind in kinds.items():
             write_bytes(f"{stem}.{name}", arrays[name].astype(kind).tobytes())
-        yield pa.RecordBatch.from_pydict({"first": [str(keys[0])], "n": [len(keys)], "total": [int(n.sum())], "file": [stem]})
+        yield pa.RecordBatch.from_pydict({"first": [str(keys[0])], "n": [len(keys)], "total": [int(n.sum())], "count": [kinds["count"]], "file": [stem]})
 
-    found = sorted(({**r.asDict(), "first": int(r["first"])} for r in ordered.mapInArrow(write, "first string, n long, total long, file string").collect()), key=lambda b: b["first"])
+    found = sorted(({**r.asDict(), "first": int(r["first"])} for r in ordered.mapInArrow(write, "first string, n long, total long, count string, file string").collect()), key=lambda b: b["first"])
     base = 0
     for b in found:
         b["base"] = base

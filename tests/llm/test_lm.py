@@ -82,6 +82,16 @@ def test_elias_fano_in_pieces():
     assert (eliasfano.find(code, values) == np.arange(len(values))).all()
 
 
+def test_counts_beyond_32_bits(spark, tmp_path):
+    many, schema = 5 << 32, "key long, n long"
+    one = lm.add_level(spark.createDataFrame([(k, many if k == 7 else 3) for k in range(20)], schema), [], str(tmp_path))
+    two = lm.add_level(spark.createDataFrame([(7 * 20 + 8, many // 4)], schema), [one], str(tmp_path))
+    assert one.find(np.array([7, 8, 99], np.uint64))[1].tolist() == [many, 3, 0] and one.total == many + 19 * 3
+    _, count, prob = two.find(np.array([148], np.uint64))
+    want = lm.WEIGHT * 0.25 + (1 - lm.WEIGHT) * 10 ** lm.unigram_log(3, one.total, one.size)
+    assert count.tolist() == [many // 4] and prob.tolist() == [lm.quantised(np.log10(want))]
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b", "x", 1)], SCHEMA)
     trie = lm.trained(docs.where("false"))
