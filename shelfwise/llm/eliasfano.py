@@ -20,12 +20,15 @@ def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     bits[high + np.arange(n)] = 1
     words = np.packbits(bits, bitorder="little").view("<u8")
     zeros = np.concatenate([[0], np.cumsum(64 - np.bitwise_count(words).astype(np.int64))]).astype("<u4")
-    low = rest & np.uint64((1 << width) - 1)
+    return {"head": np.array([n, base, width], "<u8"), "words": words, "zeros": zeros, "low": pack_bits(rest, width)}
+
+
+def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of every value, end to end, as ``low_bits`` reads them."""
     # In pieces of whole bytes: a plane of bits takes many times the room of its number.
     places = np.arange(width, dtype=np.uint64)
-    planes = [np.packbits(((low[a : a + 65536, None] >> places) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little") for a in range(0, n, 65536)] if width else []
-    packed = np.concatenate([*planes, np.zeros(16, np.uint8)])
-    return {"head": np.array([n, base, width], "<u8"), "words": words, "zeros": zeros, "low": packed}
+    planes = [np.packbits(((values[a : a + 65536, None] >> places) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little") for a in range(0, len(values), 65536)] if width else []
+    return np.concatenate([*planes, np.zeros(16, np.uint8)])
 
 
 def low_bits(low: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
@@ -43,9 +46,15 @@ def low_bits(low: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
 
 def select_zero(words: np.ndarray, zeros: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Positions of the zeros with the given ranks, from 0."""
-    word = np.searchsorted(zeros, rank, "right") - 1
-    left = (rank - zeros[word].astype(np.int64)).astype(np.int64)
-    value = ~words[np.minimum(word, len(words) - 1)]
+    return select_one(words, zeros, rank, flip=True)
+
+
+def select_one(words: np.ndarray, before: np.ndarray, rank: np.ndarray, flip: bool = False) -> np.ndarray:
+    """Positions of the ones (``flip``: zeros) with the given ranks; ``before`` counts them ahead of each word."""
+    word = np.searchsorted(before, rank, "right") - 1
+    left = (rank - before[word].astype(np.int64)).astype(np.int64)
+    value = words[np.minimum(word, len(words) - 1)]
+    value = ~value if flip else value
     at = np.zeros(len(rank), np.int64)
     for half in (32, 16, 8, 4, 2, 1):
         count = np.bitwise_count(value & np.uint64((1 << half) - 1)).astype(np.int64)
@@ -56,6 +65,15 @@ def select_zero(words: np.ndarray, zeros: np.ndarray, rank: np.ndarray) -> np.nd
     return word * 64 + at
 
 
+def access(code: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """The values at the given positions of the sequence."""
+    base, width = code["head"][1], int(code["head"][2])
+    # Ones before each word, from the stored zeros.
+    ones = 64 * np.arange(len(code["zeros"]), dtype=np.int64) - code["zeros"]
+    high = (select_one(code["words"], ones, at) - at).astype(np.uint64)
+    return ((high << np.uint64(width)) | low_bits(code["low"], width, at)) + base
+
+
 def find(code: dict[str, np.ndarray], queries: np.ndarray) -> np.ndarray:
     """The position of each query in the sequence, -1 where it is not in it."""
     n, base, width = int(code["head"][0]), code["head"][1], int(code["head"][2])

@@ -1,25 +1,33 @@
 """LM scoring with an Elias-Fano n-gram trie.
 
 Level 1 holds the hashes of all training words in order, so a word's number is
-its rank. Level n holds, for every node of the level below that has them, its
-successors: the number of the context's node times the vocabulary plus the
-successor's number, a monotone sequence in which a context's successors are one
-range. Every node keeps its smoothed probability in eight bits and its count, in 32 bits
-or, in blocks with larger counts, 64.
-
-Counts are sums over the whole corpus. Levels 2 and 3 keep n-grams that occur
-``LEAST`` times or more, at 1 all of them, so that the probabilities after a
-context sum to one. Every level is sorted by
-range partitioning and written in blocks, one flat file per array, which workers
-map into memory; the driver holds the first key and size of each block.
+its rank. Level n holds the successors of every node of the level below: for each
+context a monotone pointer to the start of its range, and in the range the
+successors' word numbers in order. A query finds its context's two pointers and
+searches between them. Every node keeps its smoothed probability in eight bits
+and its count, in 32 bits or, in blocks with larger counts, 64.
+
+A level lies in blocks, one flat file each, which workers map into memory, a few at
+a time. Level 1 is cut by the leading bits of the hashes. Above, all contexts of one
+block below form a row of blocks, cut by word number into as many as their tokens
+need: word numbers follow hashes, so a context with a third of all tokens is
+spread over its row like any other. The driver holds a name and size for each block.
+
+Counts are sums over the whole corpus. A slice of texts sends its distinct n-grams
+to their blocks once, sorted and packed; a task merges one block at a time.
+Levels 2 and 3 keep n-grams that occur ``LEAST`` times or more, at 1 all of them,
+so that the probabilities after a context sum to one.
 
 An n-gram's probability mixes its relative frequency with the probability after
 a shorter context; where a context was never seen, the shorter one speaks alone.
+Rows that repeat are learned and scored again; texts of any length are taken whole.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +42,9 @@ ORDER = 3
 WEIGHT = 0.6
 END = np.uint64(0x5B1CE5A1F00D0E2D)  # the end's name among word hashes
 QUANTUM = 0.06
-ARRAYS = {"head": "<u8", "words": "<u8", "zeros": "<u4", "low": "u1", "count": "<u4", "prob": "u1"}
+BLOCK_TOKENS = 2 << 20
+OPEN_BLOCKS = 64
+CODEC = "zstd"
 
 
 def quantised(log_p: np.ndarray) -> np.ndarray:
@@ -46,34 +56,131 @@ def unigram_log(count: np.ndarray, tokens: int, words: int) -> np.ndarray:
 
 
 class Level:
-    """One level of the trie: its blocks, mapped into memory when first asked."""
+    """One level of the trie, from the names and sizes of its blocks.
 
-    def __init__(self, blocks: list[dict]):
-        self.blocks, self.open = blocks, {}
-        self.firsts = np.array([b["first"] for b in blocks], np.uint64)
-        self.size = sum(b["n"] for b in blocks)
-        self.total = sum(b["total"] for b in blocks)
+    ``blocks`` are in the order of their numbers. ``rows`` says, for each block of
+    ``below``, how many blocks its contexts' successors are cut into; level 1
+    is cut into ``2 ** bits``.
+    """
+
+    def __init__(self, blocks: list[dict], below: Level | None = None, bits: int = 0, rows: list[int] | None = None, words: int = 0):
+        self.blocks, self.below, self.bits = blocks, below, bits
+        self.rows = np.array(rows or [], np.int64)
+        self.starts = np.cumsum(self.rows) - self.rows
+        self.numbers = np.array([b["block"] for b in blocks], np.int64)
+        sizes = np.array([b["n"] for b in blocks], np.int64)
+        self.bases = np.cumsum(sizes) - sizes
+        self.size, self.total = int(sizes.sum()), sum(b["total"] for b in blocks)
+        self.words = words or self.size
+        self.open: OrderedDict[int, dict] = OrderedDict()
+
+    def shape(self) -> dict:
+        """All that ``Level`` is made from, without the level below."""
+        return {"blocks": self.blocks, "bits": self.bits, "rows": self.rows.tolist(), "words": self.words}
 
     def block(self, k: int) -> dict[str, np.ndarray]:
+        """The arrays of the k-th block, mapped; the one not used for longest is let go."""
         if k not in self.open:
-            kinds = ARRAYS | {"count": self.blocks[k]["count"]}
-            self.open[k] = {name: map_array(f"{self.blocks[k]['file']}.{name}", kind) for name, kind in kinds.items()}
+            self.open[k] = mapped(self.blocks[k]["file"])
+            if len(self.open) > OPEN_BLOCKS:
+                self.open.popitem(last=False)
+        self.open.move_to_end(k)
         return self.open[k]
 
-    def find(self, keys: np.ndarray, payload: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def numbered(self, keys: np.ndarray) -> np.ndarray:
+        """The number of the block each key belongs to."""
+        if self.below is None:
+            return (keys >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
+        context, word = np.divmod(keys, np.uint64(self.words))
+        row = np.searchsorted(self.below.bases, context.astype(np.int64), "right") - 1
+        return self.starts[row] + (word.astype(np.int64) * self.rows[row]) // self.words
+
+    def encoded(self, keys: np.ndarray) -> dict[str, np.ndarray]:
+        """Sorted keys of one block as arrays: hashes as they are, successors behind pointers."""
+        if self.below is None:
+            return eliasfano.encode(keys)
+        context, word = np.divmod(keys, np.uint64(self.words))
+        pointers = np.searchsorted(context, np.arange(context[0], context[-1] + np.uint64(2), dtype=np.uint64))
+        code = eliasfano.encode(pointers.astype(np.uint64))
+        width = max(1, int(self.words - 1).bit_length())
+        return {**code, "range": np.array([context[0], len(pointers) - 1, width], np.uint64), "word": eliasfano.pack_bits(word, width)}
+
+    def search(self, code: dict[str, np.ndarray], keys: np.ndarray) -> np.ndarray:
+        """The place of every key in a block, -1 where it is absent."""
+        if self.below is None:
+            return eliasfano.find(code, keys)
+        first, contexts, width = (int(x) for x in code["range"])
+        out = np.full(len(keys), -1)
+        context, word = np.divmod(keys, np.uint64(self.words))
+        own = context.astype(np.int64) - first
+        live = np.flatnonzero((own >= 0) & (own < contexts))
+        distinct, back = np.unique(own[live], return_inverse=True)
+        edges = eliasfano.access(code, np.concatenate([distinct, distinct + 1])).astype(np.int64)
+        low, high = edges[: len(distinct)][back], edges[len(distinct) :][back]
+        while True:
+            going = low < high
+            live, low, high = live[going], low[going], high[going]
+            if not len(live):
+                return out
+            middle = (low + high) // 2
+            value = eliasfano.low_bits(code["word"], width, middle)
+            hit, less = value == word[live], value < word[live]
+            out[live[hit]] = middle[hit]
+            low, high = np.where(less, middle + 1, low), np.where(less, high, np.where(hit, low, middle))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Node number, count and quantised probability of every key; -1, 0 and 0 where absent."""
         distinct, back = np.unique(keys, return_inverse=True)
         node, count, prob = np.full(len(distinct), -1), np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-        cut = np.searchsorted(distinct, self.firsts) if len(self.firsts) else []
-        for k, (a, b) in enumerate(zip(cut, [*cut[1:], len(distinct)])):
-            if a < b:
-                code = self.block(k)
-                at = eliasfano.find(code, distinct[a:b])
-                hit = np.flatnonzero(at >= 0)
-                node[a + hit] = at[hit] + self.blocks[k]["base"]
-                count[a + hit], prob[a + hit] = code["count"][at[hit]], code["prob"][at[hit]]
+        number = self.numbered(distinct)
+        order = np.argsort(number, kind="stable")
+        cut = np.searchsorted(number[order], self.numbers)
+        end = np.searchsorted(number[order], self.numbers, "right")
+        for k in np.flatnonzero(cut < end):
+            own = order[cut[k] : end[k]]
+            code = self.block(int(k))
+            at = self.search(code, distinct[own])
+            hit = at >= 0
+            node[own[hit]] = at[hit] + self.bases[k]
+            count[own[hit]], prob[own[hit]] = code["count"][at[hit]], code["prob"][at[hit]]
         return node[back], count[back], prob[back]
 
+    def values(self, node: np.ndarray, name: str) -> np.ndarray:
+        """``count``, or ``word``, at every node number."""
+        block = np.searchsorted(self.bases, node, "right") - 1
+        out = np.zeros(len(node), np.int64)
+        for k in np.unique(block):
+            own = block == k
+            code, at = self.block(int(k)), node[own] - self.bases[k]
+            out[own] = eliasfano.low_bits(code["word"], int(code["range"][2]), at).astype(np.int64) if name == "word" else code[name][at]
+        return out
+
+
+def levels_of(shapes: list[dict]) -> list[Level]:
+    levels: list[Level] = []
+    for shape in shapes:
+        levels.append(Level(below=levels[-1] if levels else None, **shape))
+    return levels
+
+
+def written(uri: str, arrays: dict[str, np.ndarray]) -> None:
+    """Arrays as one flat file: a line that says where each lies, then their bytes at multiples of eight."""
+    layout, at = {}, 0
+    for name, x in arrays.items():
+        layout[name] = (x.dtype.str, at, len(x))
+        at += -(-x.nbytes // 8) * 8
+    line = json.dumps(layout).encode()
+    line += b" " * (-(len(line) + 8) % 8)
+    body = [x.tobytes().ljust(-(-x.nbytes // 8) * 8, b"\0") for x in arrays.values()]
+    write_bytes(uri, b"".join([len(line).to_bytes(8, "little"), line, *body]))
+
+
+def mapped(uri: str) -> dict[str, np.ndarray]:
+    data = map_array(uri, "u1")
+    size = int.from_bytes(data[:8].tobytes(), "little")
+    layout = json.loads(data[8 : 8 + size].tobytes())
+    return {name: np.asarray(data[8 + size + at : 8 + size + at + n * np.dtype(kind).itemsize]).view(kind) for name, (kind, at, n) in layout.items()}
+
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the tokens of all texts, each text's end behind it; their texts; their places."""
@@ -101,107 +208,136 @@ def successors(levels: list[Level], hashes: np.ndarray, place: np.ndarray) -> tu
     return word, found
 
 
-def counted(docs: DataFrame, levels: list[Level], least: int) -> DataFrame:
-    """``(key, n)`` of the n-grams one longer than the trie has, as far as they can reach ``least``."""
+PIECES = "block long, size long, keys binary, counts binary"
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers that are mostly small, byte plane by byte plane, compressed."""
+    return pa.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec=CODEC, asbytes=True)
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, size * 8, codec=CODEC, asbytes=True), np.uint8).reshape(8, size)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def pieces(level: Level, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Sorted distinct keys with their counts, as one packed row for each block of a level to be."""
+    number = level.numbered(keys)
+    order = np.argsort(number, kind="stable")
+    cuts = np.flatnonzero(np.diff(number[order], prepend=-1))
+    out = []
+    for own in np.split(order, cuts[1:]) if len(keys) else []:
+        k = keys[own]
+        out.append((int(number[own[0]]), len(own), packed(np.diff(k, prepend=np.uint64(0))), packed(n[own])))
+    columns = list(zip(*out)) if out else [[]] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["block", "size", "keys", "counts"])
+
+
+def planned(levels: list[Level], splits: int) -> Level:
+    """The next level, without blocks yet: its cuts follow from the level below."""
+    if not levels:
+        return Level([], bits=max(0, (splits - 1).bit_length()))
+    below = levels[-1]
+    rows = [-(-b["total"] // BLOCK_TOKENS) for b in below.blocks]
+    return Level([], below, rows=[min(r, levels[0].size) for r in rows], words=levels[0].size)
+
+
+def counted(docs: DataFrame, levels: list[Level], plan: Level, least: int) -> DataFrame:
+    """The n-grams one longer than the trie has, as far as they can reach ``least``, as ``PIECES``."""
+    shapes, next_shape = [x.shape() for x in levels], plan.shape()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = levels_of(shapes)
+        goal = Level(below=known[-1] if known else None, **next_shape)
         for batch in bounded(batches):
             hashes, _, place = tokens_of(batch.column("text"))
-            if levels:
-                word, found = successors(levels, hashes, place)
+            if known:
+                word, found = successors(known, hashes, place)
                 node, count, _ = found[-1]
                 often = (node >= 0) & (count >= least)
-                pair = np.flatnonzero((place[1:] >= len(levels)) & often[:-1] & often[1:]) + 1
-                hashes = node[pair - 1].astype(np.uint64) * np.uint64(levels[0].size) + word[pair].astype(np.uint64)
-            keys, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
-
-    sums = docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return sums.where(F.col("n") >= least) if levels else sums
-
-
-def add_level(counts: DataFrame, levels: list[Level], folder: str) -> Level:
-    """Sort a level's nodes, write its blocks and return it."""
-    flip = F.col("key").bitwiseXOR(F.lit(-(1 << 63)))  # signed order of this is unsigned order of the key
-    ordered = counts.select(flip.alias("key"), "n").repartitionByRange("key").sortWithinPartitions("key")
-    tokens, words = (levels[0].total, levels[0].size) if levels else (0, 0)
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column("key").to_numpy(), b.column("n").to_numpy()) for b in batches if b.num_rows]
-        if not parts:
-            return
-        keys, n = (np.concatenate(c) for c in zip(*parts))
-        keys = keys.view(np.uint64) ^ np.uint64(1 << 63)
-        prob = np.zeros(len(keys), np.uint8)
-        if levels:
-            word = (keys % np.uint64(words)).astype(np.int64)
-            context = (keys // np.uint64(words)).astype(np.int64)
-            shorter = by_number(levels[0], word, "count")
-            p = 10.0 ** unigram_log(shorter, tokens, words)
-            if len(levels) > 1:
-                # The last two words' own node gives the mixture one level down.
-                last = keys_of(levels[1], context) % np.uint64(words)
-                _, _, code = levels[1].find(last * np.uint64(words) + word.astype(np.uint64))
-                p = 10.0 ** (-QUANTUM * code)
-            share = n / np.maximum(by_number(levels[-1], context, "count"), 1)
-            prob = quantised(np.log10(WEIGHT * share + (1 - WEIGHT) * p))
-        stem = f"{folder}/level{len(levels) + 1}-{uuid.uuid4().hex}"
-        arrays = {**eliasfano.encode(keys), "count": n, "prob": prob}
-        kinds = ARRAYS | {"count": "<u4" if n.max() < 1 << 32 else "<u8"}
-        for name, kind in kinds.items():
-            write_bytes(f"{stem}.{name}", arrays[name].astype(kind).tobytes())
-        yield pa.RecordBatch.from_pydict({"first": [str(keys[0])], "n": [len(keys)], "total": [int(n.sum())], "count": [kinds["count"]], "file": [stem]})
-
-    found = sorted(({**r.asDict(), "first": int(r["first"])} for r in ordered.mapInArrow(write, "first string, n long, total long, count string, file string").collect()), key=lambda b: b["first"])
-    base = 0
-    for b in found:
-        b["base"] = base
-        base += b["n"]
-    return Level(found)
-
-
-def by_number(level: Level, node: np.ndarray, name: str) -> np.ndarray:
-    """An array's value at every node number."""
-    bases = np.array([b["base"] for b in level.blocks])
-    block = np.searchsorted(bases, node, "right") - 1
-    out = np.zeros(len(node), np.int64)
-    for k in np.unique(block):
-        own = block == k
-        out[own] = level.block(int(k))[name][node[own] - bases[k]]
-    return out
-
-
-def keys_of(level: Level, node: np.ndarray) -> np.ndarray:
-    """The keys at node numbers, read back from the Elias-Fano blocks."""
-    bases = np.array([b["base"] for b in level.blocks])
-    block = np.searchsorted(bases, node, "right") - 1
-    out = np.zeros(len(node), np.uint64)
-    for k in np.unique(block):
-        own = np.flatnonzero(block == k)
-        code = level.block(int(k))
-        n, first, width = int(code["head"][0]), code["head"][1], int(code["head"][2])
-        ones = np.flatnonzero(np.unpackbits(np.asarray(code["words"]).view(np.uint8), bitorder="little"))[:n]
-        at = node[own] - bases[k]
-        high = (ones[at] - at).astype(np.uint64)
-        out[own] = ((high << np.uint64(width)) | eliasfano.low_bits(code["low"], width, at)) + first
-    return out
+                pair = np.flatnonzero((place[1:] >= len(known)) & often[:-1] & often[1:]) + 1
+                hashes = node[pair - 1].astype(np.uint64) * np.uint64(known[0].size) + word[pair].astype(np.uint64)
+            yield pieces(goal, *np.unique(hashes, return_counts=True))
+
+    return docs.select("text").mapInArrow(run, PIECES)
+
+
+def merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of several pieces, their counts added."""
+    keys, n = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first).astype(np.int64)
+
+
+def add_level(arrived: DataFrame, levels: list[Level], plan: Level, folder: str, least: int = 1) -> Level:
+    """Merge the pieces of every block of ``plan``, write the blocks and return the level."""
+    shapes, next_shape = [x.shape() for x in levels], plan.shape()
+
+    def smoothed(known: list[Level], keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+        words = np.uint64(known[0].size)
+        context, word = (x.astype(np.int64) for x in np.divmod(keys, words))
+        if len(known) == 1:
+            p = 10.0 ** unigram_log(known[0].values(word, "count"), known[0].total, known[0].size)
+        else:
+            # The last two words' own node gives the mixture one level down.
+            last = known[-1].values(context, "word").astype(np.uint64)
+            p = 10.0 ** (-QUANTUM * known[1].find(last * words + word.astype(np.uint64))[2])
+        share = n / np.maximum(known[-1].values(context, "count"), 1)
+        return quantised(np.log10(WEIGHT * share + (1 - WEIGHT) * p))
+
+    def block(known: list[Level], goal: Level, number: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        keys, n = merged(parts)
+        if known:
+            keys, n = keys[n >= least], n[n >= least]
+        if len(keys):
+            prob = smoothed(known, keys, n) if known else np.zeros(len(keys), np.uint8)
+            file = f"{folder}/level{len(known) + 1}-{uuid.uuid4().hex}"
+            written(file, {**goal.encoded(keys), "count": n.astype("<u4" if n.max() < 1 << 32 else "<u8"), "prob": prob})
+            yield pa.RecordBatch.from_pydict({"block": [number], "n": [len(keys)], "total": [int(n.sum())], "file": [file]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = levels_of(shapes)
+        goal = Level(below=known[-1] if known else None, **next_shape)
+        number, parts, held = None, [], 0
+        for batch in batches:
+            for own, size, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != number and parts:
+                    yield from block(known, goal, number, parts)
+                    parts, held = [], 0
+                number = own
+                parts.append((np.cumsum(unpacked(keys, size)), unpacked(counts, size)))
+                held += size
+                if held > 2 * BLOCK_TOKENS:
+                    # Pieces of a block repeat their frequent keys; merged, they are within its tokens.
+                    parts = [merged(parts)]
+                    held = len(parts[0][0])
+        if parts:
+            yield from block(known, goal, number, parts)
+
+    dealt = arrived.select("block", "size", "keys", "counts").repartition("block").sortWithinPartitions("block")
+    found = [r.asDict() for r in dealt.mapInArrow(run, "block long, n long, total long, file string").collect()]
+    return Level(sorted(found, key=lambda b: b["block"]), levels[-1] if levels else None, plan.bits, plan.rows.tolist(), levels[0].size if levels else 0)
 
 
 def trained(docs: DataFrame, folder: str | None = None, order: int = ORDER, least: int = LEAST) -> list[dict]:
-    """The levels' block lists of a trie over ``docs(text)``; empty without rows."""
+    """The levels of a trie over ``docs(text)``; empty without rows."""
     folder = folder or shared_path(docs.sparkSession, "trie")
     levels: list[Level] = []
     for _ in range(order):
-        level = add_level(counted(docs, levels, least), levels, folder)
+        plan = planned(levels, docs.rdd.getNumPartitions())
+        level = add_level(counted(docs, levels, plan, least), levels, plan, folder, least)
         if not level.size:
             break
         if level.size * max(1, (levels or [level])[0].size) >= 1 << 63:
             raise OverflowError("node numbers times vocabulary exceed 63 bits")
         levels.append(level)
-    return [x.blocks for x in levels]
+    return [x.shape() for x in levels]
 
 
-def score(docs: DataFrame, trie: list[list[dict]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(docs: DataFrame, trie: list[dict], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: tokens, known tokens, N, the base score and the model's log10 probability.
 
     Null and empty texts hold their end alone. With nothing learned every token
@@ -209,7 +345,7 @@ def score(docs: DataFrame, trie: list[list[dict]], doc_id: str = "doc_id", text:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = [Level(b) for b in trie]
+        levels = levels_of(trie)
         tokens, words = (levels[0].total, levels[0].size) if levels else (0, 0)
         for batch in bounded(batches):
             rows = batch.num_rows

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 
 from shelfwise.llm import eliasfano, lm
 
@@ -32,6 +33,38 @@ def test_elias_fano_finds_exactly_its_members():
         assert (eliasfano.find(code, others) == -1).all()
 
 
+def test_elias_fano_reads_back_and_packs():
+    rng = np.random.default_rng(6)
+    for values in (np.sort(rng.integers(0, 5000, 3000, np.uint64)), np.zeros(10, np.uint64), np.sort(rng.integers(0, 2**50, 200, np.uint64))):
+        assert (eliasfano.access(eliasfano.encode(values), np.arange(len(values))) == values).all()
+    values = rng.integers(0, 2**37, 70_000, np.uint64)
+    assert (eliasfano.low_bits(eliasfano.pack_bits(values, 37), 37, np.arange(len(values))) == values).all()
+    assert (lm.unpacked(lm.packed(values), len(values)) == values).all()
+
+
+def test_successors_lie_behind_their_contexts_pointers():
+    below = lm.Level([{"block": 0, "n": 6, "total": 60, "file": ""}, {"block": 1, "n": 4, "total": 9, "file": ""}])
+    goal = lm.Level([], below, rows=[3, 1], words=10)
+    keys = np.array([3, 7, 21, 22, 29, 40, 58], np.uint64)  # context times ten plus word
+    assert goal.numbered(keys).tolist() == [0, 2, 0, 0, 2, 0, 2] and goal.numbered(np.array([61, 99], np.uint64)).tolist() == [3, 3]
+    code = goal.encoded(keys)
+    assert eliasfano.access(code, np.arange(7)).tolist() == [0, 2, 2, 5, 5, 6, 7]
+    wanted = np.arange(0, 100, dtype=np.uint64)
+    at = goal.search(code, wanted)
+    assert wanted[at >= 0].tolist() == keys.tolist() and at[at >= 0].tolist() == list(range(7))
+
+
+def test_small_blocks_give_the_same_scores(spark, monkeypatch):
+    rows = corpus()
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)
+    score = lambda: sorted((tuple(r) for r in lm.score(docs, lm.trained(docs)).collect()), key=repr)
+    want = score()
+    # Few tokens a block and few open blocks: every context is spread over several.
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 500)
+    monkeypatch.setattr(lm, "OPEN_BLOCKS", 2)
+    assert lm.trained(docs)[1]["rows"] != [1] * len(lm.trained(docs)[1]["rows"]) and score() == want
+
+
 def corpus():
     rng = random.Random(3)
     return [(i, " ".join(rng.choice(["The", "cat", "sat", "on", "a", "mat", f"w{rng.randrange(60)}"]) for _ in range(rng.choice([0, 1, 9, 90])))) for i in range(120)] + [(500, None), (501, ""), (None, "the cat"), (502, "cat " * 30000), (700, "again"), (700, "again")]
@@ -83,9 +116,15 @@ def test_elias_fano_in_pieces():
 
 
 def test_counts_beyond_32_bits(spark, tmp_path):
-    many, schema = 5 << 32, "key long, n long"
-    one = lm.add_level(spark.createDataFrame([(k, many if k == 7 else 3) for k in range(20)], schema), [], str(tmp_path))
-    two = lm.add_level(spark.createDataFrame([(7 * 20 + 8, many // 4)], schema), [one], str(tmp_path))
+    many = 5 << 32
+
+    def level(counts, levels):
+        plan = lm.planned(levels, 3)
+        rows = lm.pieces(plan, np.array(list(counts), np.uint64), np.array(list(counts.values())))
+        return lm.add_level(spark.createDataFrame(pa.Table.from_batches([rows])), levels, plan, str(tmp_path))
+
+    one = level({k: many if k == 7 else 3 for k in range(20)}, [])
+    two = level({7 * 20 + 8: many // 4}, [one])
     assert one.find(np.array([7, 8, 99], np.uint64))[1].tolist() == [many, 3, 0] and one.total == many + 19 * 3
     _, count, prob = two.find(np.array([148], np.uint64))
     want = lm.WEIGHT * 0.25 + (1 - lm.WEIGHT) * 10 ** lm.unigram_log(3, one.total, one.size)
