@@ -263,7 +263,7 @@ OP11_SQL = r"""
 WITH pieces AS (
     SELECT lang, row_number() OVER () AS piece, words
     FROM (
-        SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), w -> w <> '') AS words
+        SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda w: w <> '') AS words
         FROM (
             SELECT coalesce(lang, 'und') AS lang,
                    unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
