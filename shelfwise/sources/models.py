@@ -32,9 +32,12 @@ def default_model_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name.lower()}_{datetime.now(timezone.utc):%Y%m%d_%H%M%S}"
 
 
-def save_model(spark: SparkSession, model: MLWritable, path: str, **metadata) -> str:
+def save_model(spark: SparkSession, model, path: str, **metadata) -> str:
     """Save a fitted model with its name, sizes, class names and time."""
-    model.write().overwrite().save(f"{path}/model")
+    if isinstance(model, MLWritable):
+        model.write().overwrite().save(f"{path}/model")
+    else:
+        model.save(spark, f"{path}/model")
     described = {
         "model_name": type(model).__name__,
         "timestamp": datetime.now(timezone.utc).isoformat(),
@@ -47,5 +50,9 @@ def save_model(spark: SparkSession, model: MLWritable, path: str, **metadata) ->
 def load_model(spark: SparkSession, path: str):
     """Load a saved model of any kind, with its metadata."""
     metadata = load_metadata(spark, f"{path}/metadata")
+    if metadata["model_name"] == "SoftmaxModel":
+        from shelfwise.plans.boosting import SoftmaxModel
+
+        return SoftmaxModel.load(spark, f"{path}/model"), metadata
     model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
     return model, metadata
