@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise import schemas as S
 from shelfwise.functions.numeric import nan_to_null
+from shelfwise.sources.quoted_csv import read_quoted_csv
 
 FORMATS = {".parquet": "parquet", ".csv": "csv", ".json": "json", ".orc": "orc"}
 
@@ -31,16 +32,10 @@ def format_of(path: str) -> str:
 def _read_csv(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame:
     """Columns by header name, missing texts as null, known columns typed.
 
-    Quoted line breaks need ``multiLine``, which reads each file in one task:
-    keep CSV for the edges, as many files, and store Parquet.
+    A large file is read by many tasks, line breaks in quotes or not.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    raw = read_quoted_csv(spark, path)
+
     def typed(name: str):
         value = F.when(~F.col(f"`{name}`").isin(MISSING_TEXTS), F.col(f"`{name}`"))
         kind = types.get(name, T.StringType())
