@@ -1,16 +1,22 @@
 """Exact, linearly interpolated quantiles that never gather a group in one task.
 
-A first pass brackets each target rank with ``percentile_approx`` (bounded
-sketches, merged map-side). A second pass counts the rows below the bracket and
-groups the few values inside it; only those distinct values are ordered. The
-answer is exact, and the running total is checked to cover the target rank.
+Each wanted rank has a range of values that holds it, at first the whole group.
+A range with more than ``LARGE`` rows is cut at quantiles of a bounded sketch, the
+rows in each piece are counted exactly, and the piece that holds the rank is the
+next range. A rank is read off once its range has at most ``LARGE`` rows or a
+single value; only such a range is ever ordered in one task. The sketch decides
+how fast ranges shrink, never the result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-ACCURACY = 10_000
+from shelfwise.session import cut_lineage
+
+LARGE = 100_000
+PIECES = 64
+ACCURACY = 1_000
 
 
 def quantiles_from_counts(
@@ -40,83 +46,79 @@ def quantiles_from_counts(
     return ranked.groupBy(*by).agg(*picks).select(*by, *outputs)
 
 
+def _ranges(rows: DataFrame, by: list[str], ranks: Column) -> DataFrame:
+    """The whole of each group as the range of each of its ranks, which count from 0."""
+    groups = rows.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    return groups.select(*by, F.explode(F.array_distinct(ranks)).alias("_rank"), "_lo", "_hi", "_n").withColumn("_below", F.lit(0).cast("bigint"))
+
+
+def _narrowed(rows: DataFrame, ranges: DataFrame, by: list[str], few: bool) -> DataFrame:
+    """Each range cut into pieces, and the piece with its rank as the new range."""
+    key = [*by, "_rank"]
+    hint = F.broadcast if few else (lambda df: df)
+    inside = rows.join(hint(ranges.select(*key, "_lo", "_hi")), by).where("_v BETWEEN _lo AND _hi").select(*key, "_v")
+    marks = F.percentile_approx("_v", [k / PIECES for k in range(1, PIECES)], ACCURACY)
+    cuts = inside.groupBy(*key).agg(F.array_distinct(marks).alias("_cuts"))
+    # A piece is one cut, or the values between two; a cut is a value of the range, so the range shrinks.
+    piece = 2 * F.size(F.filter("_cuts", lambda c: c < F.col("_v"))) + F.array_contains("_cuts", F.col("_v")).cast("int")
+    counted = (
+        inside.join(hint(cuts), key)
+        .groupBy(*key, piece.alias("_piece"))
+        .agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    )
+    before = F.coalesce(F.sum("_n").over(W.partitionBy(*key).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    counted = counted.withColumn("_before", before).join(hint(ranges.select(*key, "_below")), key)
+    at = F.col("_rank") - F.col("_below")
+    found = counted.where((at >= F.col("_before")) & (at < F.col("_before") + F.col("_n")))
+    return found.select(*key, "_lo", "_hi", "_n", (F.col("_below") + F.col("_before")).alias("_below"))
+
+
+def values_at_ranks(rows: DataFrame, by: list[str], ranks: Column, few: bool = False, large: int | None = None) -> DataFrame:
+    """``(by, _rank, _x)``: the value of ``rows(by, _v)`` at each rank of ``ranks``, an array over ``_n``."""
+    large = large or LARGE
+    key = [*by, "_rank"]
+    is_open = (F.col("_n") > large) & (F.col("_lo") < F.col("_hi"))
+    ranges = cut_lineage(_ranges(rows, by, ranks), "ranges")
+    while not ranges.where(is_open).isEmpty():
+        after = _narrowed(rows, ranges.where(is_open), by, few)
+        ranges = cut_lineage(ranges.where(~is_open).unionByName(after), "ranges")
+    hint = F.broadcast if few else (lambda df: df)
+    single = ranges.where("_lo = _hi").select(*key, F.col("_lo").alias("_x"))
+    small = ranges.where("_lo < _hi")
+    inside = rows.join(hint(small), by).where("_v BETWEEN _lo AND _hi")
+    counts = inside.groupBy(*key, "_below", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(W.partitionBy(*key).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow))
+    at = F.col("_rank") - F.col("_below")
+    read = counts.withColumn("_upto", upto).where((at < F.col("_upto")) & (at >= F.col("_upto") - F.col("_c")))
+    return single.unionByName(read.select(*key, F.col("_v").alias("_x")))
+
+
 def exact_quantiles(
     df: DataFrame,
     by: list[str],
     value: str,
     probabilities: dict[str, float],
     groups_are_few: bool = False,
-    accuracy: int = ACCURACY,
+    large: int | None = None,
 ) -> DataFrame:
     """One row per group with one column per entry of ``probabilities``.
 
     ``groups_are_few`` is set only where the number of groups is fixed by the
-    plan (one per profiled column), which makes the bracket table broadcastable.
+    plan (one per profiled column), which makes the table of ranges broadcastable.
     Missing values are left out; groups without values are absent.
     """
-    names = list(probabilities)
-    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
-    slack = 4.0 / accuracy
-    marks = []
-    for name in names:
-        p = probabilities[name]
-        marks += [max(0.0, p - slack), min(1.0, p + slack)]
-    sketch = rows.groupBy(*by).agg(
-        F.count("_v").alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        F.percentile_approx("_v", marks, accuracy).alias("_marks"),
-    )
-    few_rows = F.col("_n") <= 2 * accuracy
-    brackets = sketch.select(
-        *by,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("_q"),
-                        F.when(few_rows, F.col("_min"))
-                        .otherwise(F.col("_marks")[2 * i])
-                        .alias("_lo"),
-                        F.when(few_rows, F.col("_max"))
-                        .otherwise(F.col("_marks")[2 * i + 1])
-                        .alias("_hi"),
-                        (F.lit(probabilities[name]) * (F.col("_n") - 1)).alias("_h"),
-                    )
-                    for i, name in enumerate(names)
-                ]
-            )
-        ).alias("_b"),
-    ).select(*by, "_b.*")
-    if groups_are_few:
-        brackets = F.broadcast(brackets)
-    counts = (
-        rows.join(brackets, by)
-        .where(F.col("_v") <= F.col("_hi"))
-        .withColumn("_slot", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")))
-        .groupBy(*by, "_q", "_h", "_slot")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    running = W.partitionBy(*by, "_q").orderBy(F.col("_slot").asc_nulls_first())
-    ranked = counts.withColumn(
-        "_upto", F.sum("_c").over(running.rowsBetween(W.unboundedPreceding, W.currentRow))
-    )
-    picked = ranked.groupBy(*by, "_q", "_h").agg(
-        F.min(F.when(F.col("_upto") >= F.floor("_h") + 1, F.struct("_upto", "_slot"))).alias("_a"),
-        F.min(F.when(F.col("_upto") >= F.ceil("_h") + 1, F.struct("_upto", "_slot"))).alias("_z"),
-    )
-    covered = F.col("_a._slot").isNotNull() & F.col("_z._slot").isNotNull()
-    exact = F.when(
-        covered,
-        F.col("_a._slot")
-        + (F.col("_z._slot") - F.col("_a._slot")) * (F.col("_h") - F.floor("_h")),
-    ).otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-    return (
-        picked.withColumn("_x", exact)
-        .groupBy(*by)
-        .agg(
-            *[F.max(F.when(F.col("_q") == i, F.col("_x"))).alias(name) for i, name in enumerate(names)]
-        )
-    )
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    place = {name: F.lit(p) * (F.col("_n") - 1) for name, p in probabilities.items()}
+    ranks = F.array(*[f(h).cast("bigint") for h in place.values() for f in (F.floor, F.ceil)])
+    rows = cut_lineage(rows, "values")
+    found = values_at_ranks(rows, by, ranks, groups_are_few, large)
+    sizes = rows.groupBy(*by).agg(F.count("_v").alias("_n"))
+    # Two ranks at most for each wanted quantile.
+    known = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
+    joined = sizes.join(F.broadcast(known) if groups_are_few else known, by)
+
+    def interpolated(h: Column) -> Column:
+        low, high = (F.try_element_at("_at", f(h).cast("bigint")) for f in (F.floor, F.ceil))
+        return low + (high - low) * (h - F.floor(h))
+
+    return joined.select(*by, *[interpolated(h).alias(name) for name, h in place.items()])

@@ -2,15 +2,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.operators import quantiles
 from shelfwise.operators.quantiles import exact_quantiles, quantiles_from_counts
+from shelfwise.session import cut_lineage
 
 PROBS = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99, "p100": 1.0}
 
 
-def check(spark, groups, accuracy):
+def check(spark, groups, large):
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, v double").repartition(7)
-    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", PROBS, accuracy=accuracy).collect()}
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", PROBS, large=large).collect()}
     assert set(got) == set(groups)
     for g, vs in groups.items():
         for name, p in PROBS.items():
@@ -34,6 +36,20 @@ def test_bracketed_groups(spark):
     check(spark, groups, 100)
 
 
+def test_no_task_orders_more_than_the_limit(spark, monkeypatch):
+    """Skewed doubles: every range that is ordered in one task has at most the stated rows."""
+    rng = np.random.default_rng(9)
+    values = np.concatenate([np.exp(rng.normal(0, 40, 30_000)), [7.0] * 20_000, -np.exp(rng.normal(0, 90, 10_000))])
+    seen = []
+    monkeypatch.setattr(quantiles, "cut_lineage", lambda df, name: seen.append((name, cut_lineage(df, name))) or seen[-1][1])
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", 1.0)], "g string, v double").repartition(5)
+    got = exact_quantiles(df, ["g"], "v", PROBS, large=100).where("g = 'a'").first()
+    assert [got[n] for n in PROBS] == pytest.approx(np.quantile(values, list(PROBS.values())), rel=1e-12)
+    last = [frame for name, frame in seen if name == "ranges"][-1]
+    assert last.where("_lo < _hi").agg(F.max("_n")).first()[0] <= 100
+    assert len(seen) <= 8
+
+
 def test_missing_values_are_left_out(spark):
     rows = [("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), ("b", None)]
     df = spark.createDataFrame(rows, "g string, v double")
