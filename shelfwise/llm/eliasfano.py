@@ -33,15 +33,16 @@ def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
 
 def low_bits(low: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
     """The ``width`` low bits of the numbers at the given positions."""
-    out = np.zeros(len(at), np.uint64)
-    if width:
-        first = at * width
-        byte, shift = first >> 3, (first & 7).astype(np.uint64)
-        for k in range((width + 7) // 8 + 1):
-            part = low[byte + k].astype(np.uint64)
-            out |= (part << np.uint64(8 * k)) >> shift if 8 * k < 57 else part << (np.uint64(8 * k) - shift)
-        out &= np.uint64((1 << width) - 1)
-    return out
+    if not width:
+        return np.zeros(len(at), np.uint64)
+    first = at * width
+    byte, shift = first >> 3, (first & 7).astype(np.uint64)
+    # Eight bytes from any place in one step: the array's padding covers the last ones.
+    eight = np.ndarray(len(low) - 8, "<u8", low, strides=(1,))
+    out = eight[byte] >> shift
+    if width > 57:
+        out |= np.where(shift > 0, low[byte + 8].astype(np.uint64) << (np.uint64(64) - np.maximum(shift, np.uint64(1))), np.uint64(0))
+    return out & np.uint64((1 << width) - 1)
 
 
 def select_zero(words: np.ndarray, zeros: np.ndarray, rank: np.ndarray) -> np.ndarray:

@@ -117,16 +117,24 @@ class Level:
         distinct, back = np.unique(own[live], return_inverse=True)
         edges = eliasfano.access(code, np.concatenate([distinct, distinct + 1])).astype(np.int64)
         low, high = edges[: len(distinct)][back], edges[len(distinct) :][back]
+        # Word numbers follow hashes, so they lie evenly in a range: the place is guessed from the
+        # value, every third time halved, and takes few steps however long the range is.
+        wanted, floor, ceiling = word[live].astype(np.int64), np.zeros(len(live), np.int64), np.full(len(live), self.words)
+        step = 0
         while True:
             going = low < high
-            live, low, high = live[going], low[going], high[going]
+            if not going.all():
+                live, low, high, wanted, floor, ceiling = (x[going] for x in (live, low, high, wanted, floor, ceiling))
             if not len(live):
                 return out
-            middle = (low + high) // 2
-            value = eliasfano.low_bits(code["word"], width, middle)
-            hit, less = value == word[live], value < word[live]
+            share = (wanted - floor) / (ceiling - floor) if step % 3 < 2 else 0.5
+            middle = np.minimum(low + ((high - low) * share).astype(np.int64), high - 1)
+            value = eliasfano.low_bits(code["word"], width, middle).astype(np.int64)
+            hit, less = value == wanted, value < wanted
             out[live[hit]] = middle[hit]
-            low, high = np.where(less, middle + 1, low), np.where(less, high, np.where(hit, low, middle))
+            low, floor = np.where(less, middle + 1, low), np.where(less, value + 1, floor)
+            high, ceiling = np.where(less, high, np.where(hit, low, middle)), np.where(less | hit, ceiling, value)
+            step += 1
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Node number, count and quantised probability of every key; -1, 0 and 0 where absent."""
@@ -182,26 +190,30 @@ def mapped(uri: str) -> dict[str, np.ndarray]:
     return {name: np.asarray(data[8 + size + at : 8 + size + at + n * np.dtype(kind).itemsize]).view(kind) for name, (kind, at, n) in layout.items()}
 
 
-def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the tokens of all texts, each text's end behind it; their texts; their places."""
-    words = Words(texts, lower=True)
-    sizes = words.counts + 1
-    hashes = np.full(int(sizes.sum()), END, np.uint64)
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    ends = np.cumsum(sizes)
-    inside = np.ones(len(hashes), bool)
-    inside[ends - 1] = False
-    hashes[inside] = hash_strings(words.vocabulary)[words.ids]
-    return hashes, doc, np.arange(len(hashes)) - (ends - sizes)[doc]
+class Tokens:
+    """The tokens of all texts, each text's end behind it: distinct hashes, each token's number
+    among them, its text and its place in it."""
 
+    def __init__(self, texts: pa.Array):
+        words = Words(texts, lower=True)
+        sizes = words.counts + 1
+        self.hashes = np.append(hash_strings(words.vocabulary), END)
+        self.ids = np.full(int(sizes.sum()), len(words.vocabulary))
+        self.doc = np.repeat(np.arange(len(texts)), sizes)
+        ends = np.cumsum(sizes)
+        inside = np.ones(len(self.ids), bool)
+        inside[ends - 1] = False
+        self.ids[inside] = words.ids
+        self.place = np.arange(len(self.ids)) - (ends - sizes)[self.doc]
 
-def successors(levels: list[Level], hashes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+
+def successors(levels: list[Level], tokens: Tokens) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
     """For every token its word number and, level by level, its node as the end of an n-gram."""
-    found = [levels[0].find(hashes)]
+    found = [tuple(x[tokens.ids] for x in levels[0].find(tokens.hashes))]
     word = found[0][0]
     for n, level in enumerate(levels[1:], 1):
         context = np.concatenate([[-1], found[-1][0][:-1]])
-        good = np.flatnonzero((place >= n) & (context >= 0) & (word >= 0))
+        good = np.flatnonzero((tokens.place >= n) & (context >= 0) & (word >= 0))
         node, count, prob = np.full(len(word), -1), np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
         node[good], count[good], prob[good] = level.find(context[good].astype(np.uint64) * np.uint64(levels[0].size) + word[good].astype(np.uint64))
         found.append((node, count, prob))
@@ -251,14 +263,18 @@ def counted(docs: DataFrame, levels: list[Level], plan: Level, least: int) -> Da
         known = levels_of(shapes)
         goal = Level(below=known[-1] if known else None, **next_shape)
         for batch in bounded(batches):
-            hashes, _, place = tokens_of(batch.column("text"))
-            if known:
-                word, found = successors(known, hashes, place)
-                node, count, _ = found[-1]
-                often = (node >= 0) & (count >= least)
-                pair = np.flatnonzero((place[1:] >= len(known)) & often[:-1] & often[1:]) + 1
-                hashes = node[pair - 1].astype(np.uint64) * np.uint64(known[0].size) + word[pair].astype(np.uint64)
-            yield pieces(goal, *np.unique(hashes, return_counts=True))
+            tokens = Tokens(batch.column("text"))
+            if not known:
+                order = np.argsort(tokens.hashes)
+                n = np.bincount(tokens.ids, minlength=len(order))[order]
+                yield pieces(goal, tokens.hashes[order][n > 0], n[n > 0])
+                continue
+            word, found = successors(known, tokens)
+            node, count, _ = found[-1]
+            often = (node >= 0) & (count >= least)
+            pair = np.flatnonzero((tokens.place[1:] >= len(known)) & often[:-1] & often[1:]) + 1
+            keys = node[pair - 1].astype(np.uint64) * np.uint64(known[0].size) + word[pair].astype(np.uint64)
+            yield pieces(goal, *np.unique(keys, return_counts=True))
 
     return docs.select("text").mapInArrow(run, PIECES)
 
@@ -349,15 +365,17 @@ def score(docs: DataFrame, trie: list[dict], doc_id: str = "doc_id", text: str =
         tokens, words = (levels[0].total, levels[0].size) if levels else (0, 0)
         for batch in bounded(batches):
             rows = batch.num_rows
-            hashes, doc, place = tokens_of(batch.column("text"))
+            text = Tokens(batch.column("text"))
             if levels:
-                _, found = successors(levels, hashes, place)
+                _, found = successors(levels, text)
             else:
-                found = [(np.full(len(hashes), -1), np.zeros(len(hashes)), np.zeros(len(hashes), np.int64))]
-            base = unigram_log(found[0][1], tokens, words)
+                found = [(np.full(len(text.ids), -1), np.zeros(len(text.ids)), np.zeros(len(text.ids), np.int64))]
+            doc, seen = text.doc, np.zeros(len(text.hashes))
+            seen[text.ids] = found[0][1]
+            base = unigram_log(seen, tokens, words)[text.ids]
             total = base.copy()
             for n in range(1, len(found)):
-                context = np.concatenate([[False], found[n - 1][0][:-1] >= 0]) & (place >= n)
+                context = np.concatenate([[False], found[n - 1][0][:-1] >= 0]) & (text.place >= n)
                 node, _, code = found[n]
                 total = np.where(node >= 0, -QUANTUM * code, np.where(context, np.log10(1 - WEIGHT) + total, total))
             sums = lambda x: np.bincount(doc, weights=x, minlength=rows)
