@@ -65,8 +65,7 @@ class Grams:
         langs = pc.fill_null(batch.column("lang"), UNKNOWN).dictionary_encode()
         self.langs = langs.dictionary
         self.lang = langs.indices.to_numpy().astype(np.int64)[words.doc] if len(words.doc) else np.empty(0, np.int64)
-        self.word_hash = hash_strings(self.vocabulary)[self.ids]
-        self.lang_hash = hash_strings(self.langs)[self.lang]
+        self.word_hash, self.lang_hash = hash_strings(self.vocabulary), hash_strings(self.langs)
 
     def places(self, size: int) -> np.ndarray:
         """Where ``size`` words in a row stand in one piece."""
@@ -74,15 +73,19 @@ class Grams:
         return np.flatnonzero(self.piece[:n] == self.piece[size - 1 :]) if n > 0 else np.empty(0, np.int64)
 
     def hashes(self, at: np.ndarray, size: int) -> np.ndarray:
-        return reduce(join_hashes, [self.word_hash[at + k] for k in range(size)], self.lang_hash[at])
+        return reduce(lambda h, k: join_hashes(h, self.word_hash[self.ids[at + k]]), range(size), self.lang_hash[self.lang[at]])
 
     def counted(self, at: np.ndarray, size: int) -> pa.RecordBatch:
         """The distinct n-grams at the given places as language, phrase and count."""
-        code = self.lang[at]
-        first = np.arange(len(at))
+        code, values = self.lang[at], max(1, len(self.vocabulary))
+        most = max(1, len(self.langs))
         for k in range(size):
-            _, first, code = np.unique(code * (len(self.vocabulary) + 1) + self.ids[at + k], return_index=True, return_inverse=True)
-        count = np.bincount(code, minlength=len(first)) if len(at) else np.empty(0, np.int64)
+            if most * values >= 1 << 63:
+                # Numbers that no longer fit are counted through.
+                known, code = np.unique(code, return_inverse=True)
+                most = len(known)
+            code, most = code * values + self.ids[at + k], most * values
+        _, first, count = np.unique(code, return_index=True, return_counts=True)
         words = [self.vocabulary.take(pa.array(self.ids[at[first] + k])) for k in range(size)]
         phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if size > 1 else words[0]
         return pa.RecordBatch.from_arrays([self.langs.take(pa.array(self.lang[at[first]])), phrase.cast(pa.string()), pa.array(count.astype(np.int64))], names=["lang", "phrase", "n"])
@@ -144,7 +147,7 @@ def counts(docs: DataFrame, size: int, heads=None, tails=None, both: bool = Fals
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in bounded(batches, most=8 << 20):
+        for batch in bounded(batches, most=3 << 20):
             grams = Grams(batch)
             at = grams.places(size)
             if heads is not None:
