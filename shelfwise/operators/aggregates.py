@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from shelfwise import schemas as S
 from shelfwise.functions.numeric import nan_to_null, round_half_even
@@ -190,10 +190,15 @@ def filter_by_review_count(df: DataFrame, min_reviews: int = 0) -> DataFrame:
 
 
 def distinct_and_duplicates(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-null values of a column and its repeated rows."""
-    sizes = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """Distinct non-null values of a column and its repeated rows.
+
+    Texts are grouped by their SHA-256, so the shuffle carries no text.
+    """
+    text = isinstance(df.schema[column].dataType, T.StringType)
+    value = F.sha2(F.col(column).cast("binary"), 256) if text else F.col(column)
+    sizes = df.groupBy(value.alias("_value")).agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(
-        F.count(column).alias("distinct_values"),
+        F.count("_value").alias("distinct_values"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
     )
 

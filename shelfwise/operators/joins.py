@@ -58,6 +58,8 @@ def join_reviews(
         # The catalogue is filtered rather than the far larger reviews. Few
         # keys are broadcast; else the filtered catalogue is written, so that
         # the join below reads two plain inputs either way.
+        # The counts per key are taken once, whatever the form needs them for.
+        keys = cut_lineage(keys, "book_keys")
         few = small_side(keys)
         wanted = left.join(few, key, "left_semi")
         if few is keys:

@@ -2,9 +2,11 @@
 
 Rows of a class are ordered by ``md5(seed:key)``; a part is a range of ranks in
 that order. Instead of ranking every row of a class in one task, the class is
-counted by hash prefix, the prefix holding each range end is found, and only
-that prefix is ranked to read off the hash at the end. The full rows are then
-compared with a class-level table of such ends and never shuffled by class.
+counted by hash prefix and the prefix holding each range end is found. While such
+a prefix has more than ``TASK_ROWS`` rows it is counted by longer prefixes, so the
+depth of this trie follows the class; then only its rows are ranked to read off
+the hash at the end. The full rows are compared with a class-level table of
+such ends and never shuffled by class.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from shelfwise import schemas as S
 from shelfwise.functions.numeric import round_half_even
-from shelfwise.session import small_side
+from shelfwise.session import cut_lineage, small_side
 
-PREFIX_DIGITS = 3
+STEP_DIGITS = 3
+HASH_DIGITS = 32
+TASK_ROWS = 10_000
 
 
 def row_hash(key: list[str], seed: int) -> Column:
@@ -35,38 +39,52 @@ def range_ends(df: DataFrame, by: str, key: list[str], ends: DataFrame, seed: in
     Ends of 0 give an empty hash, which sorts before every row.
     """
     ends = small_side(ends)
-    hashed = (
-        df.where(F.col(by).isNotNull())
-        .select(by, *key, row_hash(key, seed).alias("_h"))
-        .withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
+    hashed = cut_lineage(df.where(F.col(by).isNotNull()).select(by, *key, row_hash(key, seed).alias("_h")), "hashes")
+    nodes = ends.where("upto > 0").select(by, F.lit("").alias("_p"), F.col("upto").alias("_need")).distinct()
+    found, depth = None, 0
+    while True:
+        nodes, depth = _children(hashed, nodes, by, depth), depth + STEP_DIGITS
+        is_open = F.lit(depth < HASH_DIGITS) & (F.col("_c") > TASK_ROWS)
+        ready = _ranked(hashed, nodes.where(~is_open), by, key, depth)
+        found = ready if found is None else found.unionByName(ready)
+        nodes = nodes.where(is_open)
+        if nodes.isEmpty():
+            break
+    empty = ends.where("upto <= 0").select(
+        by,
+        F.struct(
+            F.lit("").alias("_h"),
+            *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in key],
+        ).alias("_end"),
     )
-    running = W.partitionBy(by).orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)
-    prefixes = (
-        hashed.groupBy(by, "_p")
+    return found.unionByName(empty)
+
+
+def _children(hashed: DataFrame, nodes: DataFrame, by: str, depth: int) -> DataFrame:
+    """For each node, a prefix with a rank in it, the next longer prefix that holds the rank, with its rows."""
+    parents = small_side(nodes.select(by, "_p").distinct())
+    inside = hashed.withColumn("_p", F.substring("_h", 1, depth)).join(parents, [by, "_p"])
+    running = W.partitionBy(by, "_p").orderBy("_q").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = (
+        inside.groupBy(by, "_p", F.substring("_h", 1, depth + STEP_DIGITS).alias("_q"))
         .agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_last", F.sum("_c").over(running))
     )
-    boundary = (
-        prefixes.join(ends.where("upto > 0"), by)
-        .where("upto <= _last and upto > _last - _c")
-        .select(by, "_p", (F.col("upto") - F.col("_last") + F.col("_c")).alias("_need"))
-    )
-    wanted = boundary.groupBy(by, "_p").agg(F.collect_set("_need").alias("_needs"))
+    held = counted.join(small_side(nodes.select(by, "_p", "_need")), [by, "_p"]).where("_need <= _last and _need > _last - _c")
+    return cut_lineage(held.select(by, F.col("_q").alias("_p"), (F.col("_need") - F.col("_last") + F.col("_c")).alias("_need"), "_c"), "ends")
+
+
+def _ranked(hashed: DataFrame, nodes: DataFrame, by: str, key: list[str], depth: int) -> DataFrame:
+    """The row at each wanted rank inside its prefix."""
+    wanted = nodes.groupBy(by, "_p").agg(F.collect_set("_need").alias("_needs"))
     within = W.partitionBy(by, "_p").orderBy("_h", *key)
-    found = (
-        hashed.join(small_side(wanted), [by, "_p"])
+    return (
+        hashed.withColumn("_p", F.substring("_h", 1, depth))
+        .join(small_side(wanted), [by, "_p"])
         .withColumn("_rn", F.row_number().over(within).cast("bigint"))
         .where(F.array_contains("_needs", F.col("_rn")))
         .select(by, F.struct("_h", *key).alias("_end"))
     )
-    empty = ends.where("upto <= 0").select(
-        by,
-        F.struct(
-            F.lit("").alias("_h"),
-            *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in key],
-        ).alias("_end"),
-    )
-    return found.unionByName(empty)
 
 
 def assign_parts(df: DataFrame, by: str, key: list[str], ends: DataFrame, seed: int) -> DataFrame:

@@ -36,12 +36,13 @@ from shelfwise.plans.stages import (
     ENGINEERED_COLS,
     NUMBER,
     SCALED,
+    CodedColumns,
     FeatureColumns,
     StandardizeColumns,
     UnseenToFirst,
     moments,
 )
-from shelfwise.session import cut_lineage
+from shelfwise.session import cut_lineage, scratch_path
 from shelfwise.sources.models import load_metadata, save_metadata
 from shelfwise.sources.sinks import write_features, write_json
 
@@ -134,7 +135,8 @@ class FittedFeatures:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """Save stages, target index and metadata under one folder."""
-        self.stages.write().overwrite().save(f"{path}/stages")
+        stages = [s.moved(spark, f"{path}/codes") if isinstance(s, CodedColumns) else s for s in self.stages.stages]
+        PipelineModel(stages).write().overwrite().save(f"{path}/stages")
         self.target.write().overwrite().save(f"{path}/target")
         metadata = {
             "config": asdict(self.config),
@@ -218,13 +220,13 @@ def fit_features(df: DataFrame, config: FeatureConfig) -> FittedFeatures:
         blocks += outputs
 
     codes = [f"{c}_idx" for c in CATEGORY_COLS]
-    encoder = StringIndexer(
-        inputCols=CATEGORY_COLS, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(prepared)
-    sizes = [len(labels) for labels in encoder.labelsArray]
-    stages += [encoder, UnseenToFirst(cols=codes, sizes=sizes)]
     names["categorical"] = list(S.CATEGORICAL_FEATURES)
     if config.encoding == "onehot":
+        # A feature for each value: the values are few by this choice.
+        encoder = StringIndexer(
+            inputCols=CATEGORY_COLS, outputCols=codes, stringOrderType="alphabetAsc", handleInvalid="keep"
+        ).fit(prepared)
+        stages += [encoder, UnseenToFirst(cols=codes, sizes=[len(labels) for labels in encoder.labelsArray])]
         hot = [f"{c}_hot" for c in CATEGORY_COLS]
         one_hot = OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=False)
         indexed = PipelineModel(stages[-2:]).transform(prepared.select(*CATEGORY_COLS))
@@ -237,6 +239,7 @@ def fit_features(df: DataFrame, config: FeatureConfig) -> FittedFeatures:
             for value in list(labels)[:n]
         ]
     else:
+        stages.append(CodedColumns.fitted(prepared, CATEGORY_COLS, codes, scratch_path(df.sparkSession, "codes")))
         blocks += codes
     names["engineered"] = list(S.ENGINEERED_FEATURES)
     stages.append(VectorAssembler(inputCols=blocks + ENGINEERED_COLS, outputCol="features"))

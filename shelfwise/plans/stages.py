@@ -6,7 +6,7 @@ from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from shelfwise import schemas as S
 from shelfwise.functions.numeric import (
@@ -18,6 +18,7 @@ from shelfwise.functions.numeric import (
     finite_ratio,
 )
 from shelfwise.functions.text import combined_text, has_series, text_length
+from shelfwise.session import cut_lineage, small_side
 
 NUMBER, SCALED, CODE, ENGINEERED = "num_", "std_", "cat_", "eng_"
 
@@ -146,16 +147,68 @@ def standardized(df: DataFrame, columns: list[str], prefix: str = SCALED) -> Dat
     ).transform(df)
 
 
+def dense_codes(df: DataFrame, column: str) -> DataFrame:
+    """``(value, code)``: the rank of each distinct value in order, from 0.
+
+    Values are dealt out by range; a value's rank is its place in its part plus
+    the sizes of the parts before, so no task and not the driver sees all values.
+    """
+    values = df.select(F.col(column).cast("string").alias("value")).where("value is not null").distinct()
+    dealt = cut_lineage(values.repartitionByRange("value").withColumn("_part", F.spark_partition_id()), "codes")
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # One row for each part.
+    parts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    starts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(W.partitionBy("_part").orderBy("value")) - 1
+    ranked = dealt.withColumn("_place", place).join(F.broadcast(starts), "_part")
+    return ranked.select("value", (F.col("_start") + F.col("_place")).cast("double").alias("code"))
+
+
+def with_codes(df: DataFrame, codes: DataFrame, column: str, output: str) -> DataFrame:
+    """Adds the code of a column's value; missing and unknown values are 0."""
+    named = codes.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+    joined = df.join(small_side(named), df[column].cast("string") == F.col("_value"), "left")
+    return joined.withColumn(output, F.coalesce("_code", F.lit(0.0))).drop("_value", "_code")
+
+
 def label_codes(df: DataFrame, columns: list[str], prefix: str = "code_") -> DataFrame:
     """Index of each value in the sorted list of values of its column."""
-    from pyspark.ml.feature import StringIndexer
-
-    outputs = [f"{prefix}{c}" for c in columns]
-    model = StringIndexer(
-        inputCols=columns, outputCols=outputs, stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(df)
-    sizes = [len(labels) for labels in model.labelsArray]
-    return UnseenToFirst(cols=outputs, sizes=sizes).transform(model.transform(df))
+    for c in columns:
+        df = with_codes(df, cut_lineage(dense_codes(df, c), "codes"), c, f"{prefix}{c}")
+    return df
+
+
+class CodedColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Columns as the codes of tables at ``path``, one folder a column; unknown values are 0."""
+
+    inputCols = Param(Params._dummy(), "inputCols", "inputs", TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "outputs", TypeConverters.toListString)
+    path = Param(Params._dummy(), "path", "folder of the code tables", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None, path=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    @classmethod
+    def fitted(cls, df: DataFrame, columns: list[str], outputs: list[str], path: str) -> CodedColumns:
+        for c in columns:
+            dense_codes(df, c).write.mode("overwrite").parquet(f"{path}/{c}")
+        return cls(inputCols=columns, outputCols=outputs, path=path)
+
+    def table(self, spark: SparkSession, column: str) -> DataFrame:
+        return spark.read.schema("value string, code double").parquet(f"{self.getOrDefault(self.path)}/{column}")
+
+    def moved(self, spark: SparkSession, path: str) -> CodedColumns:
+        """The same stage on a copy of its tables under ``path``."""
+        for c in self.getOrDefault(self.inputCols):
+            self.table(spark, c).write.mode("overwrite").parquet(f"{path}/{c}")
+        return type(self)(inputCols=self.getOrDefault(self.inputCols), outputCols=self.getOrDefault(self.outputCols), path=path)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        for c, output in zip(self.getOrDefault(self.inputCols), self.getOrDefault(self.outputCols)):
+            df = with_codes(df, self.table(df.sparkSession, c), c, output)
+        return df
 
 
 BLOCKS = ("text", "numerical", "categorical", "engineered")

@@ -14,10 +14,10 @@ from shelfwise.operators.tfidf import TermConfig, tfidf_weights
 from shelfwise.plans import features as PF
 from shelfwise.plans import selection, training
 from shelfwise.plans.scoring import Classifier
-from shelfwise.plans.stages import standardized
+from shelfwise.plans.stages import CodedColumns, dense_codes, label_codes, standardized
 from shelfwise.session import scratch_path
 from shelfwise.sources.models import default_model_path, load_model, save_model
-from shelfwise.streaming.scoring import request_stream, score_stream
+from shelfwise.streaming.scoring import manifest, read_answers, request_stream, score_stream
 
 WORDS = {
     "cooking": "recipe oven salt butter taste kitchen",
@@ -276,11 +276,45 @@ def test_stream_scores_like_batch(spark, fitted, request, kind):
     for _ in range(2):  # a second run finds nothing new
         score_stream(classifier, request_stream(spark, source, S.REQUEST_SCHEMA), output, checkpoint).awaitTermination()
     columns = ["price_numeric", "predicted_class", "confidence", "top_3"]
-    got = spark.read.parquet(output).select(*columns).collect()
+    got = read_answers(spark, output).select(*columns).collect()
     want = classifier.score(requests).select(*columns).collect()
     assert sorted(got, key=str) == sorted(want, key=str) and len(got) == len(REQUESTS)
 
 
+def test_every_request_keeps_one_answer(spark, fitted, logistic):
+    """New checkpoints, new files and batches that never reached the manifest."""
+    classifier = Classifier(fitted, logistic)
+    source, output = scratch_path(spark, "requests"), scratch_path(spark, "answers")
+    requests = spark.createDataFrame(REQUESTS, S.REQUEST_SCHEMA)
+    requests.coalesce(1).write.parquet(source)
+    stream = lambda: score_stream(classifier, request_stream(spark, source, S.REQUEST_SCHEMA), output, scratch_path(spark, "state")).awaitTermination()
+    answers = lambda: sorted(map(tuple, read_answers(spark, output).select("price_numeric", "predicted_class", "confidence").collect()), key=str)
+    stream()
+    first = answers()
+    stream()
+    assert answers() == first and len(first) == len(REQUESTS)
+    requests.limit(2).coalesce(1).write.mode("append").parquet(source)
+    stream()
+    assert len(answers()) == len(REQUESTS) + 2
+    assert manifest(spark, output).select("file").distinct().count() == 2
+    # A batch that wrote answers but no manifest entry does not count.
+    classifier.score(requests).write.parquet(f"{output}/answers/run=lost/batch=0")
+    assert len(answers()) == len(REQUESTS) + 2
+
+
+def test_codes_of_many_values(spark):
+    df = spark.range(3000).selectExpr("id", "concat('v', lpad(id * 7 % 1000, 4, '0')) AS format").repartition(5)
+    df = df.unionByName(spark.createDataFrame([(9000, None)], "id long, format string"))
+    codes = {r.value: r.code for r in dense_codes(df.repartition(4), "format").collect()}
+    assert codes == {f"v{i:04d}": float(i) for i in range(1000)}
+    got = {r.id: r.code_format for r in label_codes(df, ["format"]).collect()}
+    assert len(got) == 3001 and all(got[i] == i * 7 % 1000 for i in range(3000)) and got[9000] == 0.0
+    stage = CodedColumns.fitted(df, ["format"], ["c"], scratch_path(spark, "codes"))
+    moved = stage.moved(spark, scratch_path(spark, "moved"))
+    unseen = spark.createDataFrame([("v0005",), ("other",), (None,)], "format string")
+    assert [r.c for r in moved.transform(unseen).collect()] == [5.0, 0.0, 0.0]
+
+
 def test_request_defaults_are_training_medians(spark, fitted):
     requests = spark.createDataFrame([("t", "d")], "title string, description string")
     row = Classifier(fitted, None).request_frame(requests).first()

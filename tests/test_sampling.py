@@ -151,3 +151,17 @@ def test_imbalance_findings(spark):
     assert actions == {"critical": 3, "few samples": 2, "dominant": 2}
     spread = weights.class_spread(df, "c").first()
     assert spread["imbalance_ratio"] == 1000 and spread["severity"] == "severe"
+
+
+def test_no_window_holds_more_than_the_stated_rows(spark, monkeypatch):
+    """The trie grows with the class: ends are read off small prefixes only."""
+    monkeypatch.setattr(sampling, "STEP_DIGITS", 1)
+    monkeypatch.setattr(sampling, "TASK_ROWS", 20)
+    nodes = []
+    kept = sampling.cut_lineage
+    monkeypatch.setattr(sampling, "cut_lineage", lambda df, name: nodes.append((name, kept(df, name))) or nodes[-1][1])
+    got = by_class(sampling.stratified_sample(frame(spark, SIZES), "c", 0.5, ["k"]).select("k", "c").collect())
+    order = ranked(SIZES)
+    assert all(got[c] == set(order[c][: round(0.5 * n)]) for c, n in SIZES.items())
+    levels = [df for name, df in nodes if name == "ends"]
+    assert len(levels) == 3 and levels[-1].agg({"_c": "max"}).first()[0] <= 20
