@@ -128,7 +128,11 @@ def train_sample(spark: SparkSession, docs: DataFrame, labels: DataFrame, toxic_
 
 
 def lexicon(sample: DataFrame) -> dict[str, float]:
-    """Words and word beginnings with their log odds, from ``sample(text, toxic)``."""
+    """Words and word beginnings with their log odds, from ``sample(text, toxic)``.
+
+    Both are counted once for each different word of a text, so that a beginning
+    counts by the words it shows up in and a repeated line counts once.
+    """
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches):
@@ -144,17 +148,16 @@ def lexicon(sample: DataFrame) -> dict[str, float]:
             for n in STEMS:
                 cut = pa.array([f" {w[:n]}" if len(w) > n and w.isalpha() else "" for w in folded.dictionary.to_pylist()], pa.string()).dictionary_encode()
                 stem = cut.indices.to_numpy()[word]
-                one = np.unique(doc * max(1, len(cut.dictionary)) + stem)
-                d, s = np.divmod(one, max(1, len(cut.dictionary)))
-                t = batch.column("toxic").to_numpy(zero_copy_only=False)[d] > 0
-                out.append((cut.dictionary.to_pylist(), np.bincount(s[t], minlength=len(cut.dictionary)), np.bincount(s[~t], minlength=len(cut.dictionary))))
+                out.append((cut.dictionary.to_pylist(), np.bincount(stem[toxic], minlength=len(cut.dictionary)), np.bincount(stem[~toxic], minlength=len(cut.dictionary))))
             for names, yes, no in out:
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(yes.astype(np.int64)), pa.array(no.astype(np.int64))], names=["gram", "yes", "no"])
 
-    yes, no = classes(sample)
-    if not yes or not no:
+    if 0 in classes(sample):
         return {}
     counts = stored(sample.select("text", "toxic").mapInArrow(grams, "gram string, yes long, no long").where("length(trim(gram)) >= 3").groupBy("gram").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")), "grams")
+    yes, no = counts.where("gram like '% '").agg(F.coalesce(F.sum("yes"), F.lit(0)), F.coalesce(F.sum("no"), F.lit(0))).first()
+    if not yes or not no:
+        yes, no = max(yes, 1), max(no, 1)
     odds = F.log((F.col("yes") + 0.5) / (yes + 1.0)) - F.log((F.col("no") + 0.5) / (no + 1.0))
     certain = surprise(F.col("yes"), F.col("no"), yes / (yes + no)) >= math.log(max(1, counts.count()) / CHANCE)
     base = {f" {w} " for w in map(fold, INSULTS)}
