@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -106,7 +105,11 @@ def masks(radius: int, seed: int) -> list[int]:
 
 
 def covered(nodes: DataFrame, radius: int, level: int, key: list) -> DataFrame:
-    """Every node under every mask of a level; ``key`` extends the bucket of the level above."""
+    """Every node under every mask of a level; ``key`` extends the bucket of the level above.
+
+    Nodes become many rows each, so they are spread over all tasks first.
+    """
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     views = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(masks(radius, level))])
     return nodes.select("fp", *key, F.explode(views).alias("v")).select("fp", F.xxhash64(*key, "v.mask", "v.part").alias("bucket"))
 
@@ -174,7 +177,7 @@ STAGE_SHINGLE = 5
 STAGE_RADIUS = 6
 SIMILARITY = 0.8
 GROUP = 500
-GROUP_SHINGLES = 4_000_000
+GROUP_SHINGLES = 400_000
 ROUNDS = 6
 SAMPLE = 16
 OFTEN = 4
@@ -226,21 +229,25 @@ def classes(near: np.ndarray) -> np.ndarray:
 SETTLED = "row long, lost long, leads boolean, none boolean, first_id long, first_row long"
 
 
-def settled(group: pd.DataFrame, similarity: float) -> pd.DataFrame:
+def settled(group: pa.Table, similarity: float) -> pa.Table:
     """One row per entry of a bounded group, as ``SETTLED``.
 
     An entry stands for a class of rows seen to be alike, of which ``first_row``
     stays. Classes linked here become one: its first row stays, the others are
     ``lost``; the entry with most links ``leads``, that is, stands for all.
     """
-    group = group.sort_values(["none", "first_id", "first_row"]).reset_index(drop=True)
-    near = alike([np.asarray(s, np.int64) for s in group["shingles"]], similarity)
+    none, first_id, first_row, row = (group.column(c).to_numpy() for c in ("none", "first_id", "first_row", "row"))
+    order = np.lexsort([first_row, first_id, none])
+    none, first_id, first_row, row = none[order], first_id[order], first_row[order], row[order]
+    sets = group.column("shingles").combine_chunks()
+    starts, values = sets.offsets.to_numpy(), sets.values.to_numpy()
+    near = alike([values[starts[i] : starts[i + 1]] for i in order], similarity)
     label, degree = classes(near), near.sum(1)
-    best = pd.DataFrame({"label": label, "degree": -degree}).sort_values(["label", "degree"], kind="stable").drop_duplicates("label").index
-    first = group.loc[label].reset_index(drop=True)
     # Rows are in order, so the smallest row of a class is its first.
-    lost = group["first_row"].astype("Int64").mask(label == np.arange(len(group)))
-    return pd.DataFrame({"row": group["row"], "lost": lost, "leads": group.index.isin(best), "none": first["none"], "first_id": first["first_id"], "first_row": first["first_row"]})
+    best = np.lexsort([np.arange(len(label)), -degree, label])
+    best = best[np.flatnonzero(np.diff(label[best], prepend=-1))]
+    lost = pa.array(first_row, mask=label == np.arange(len(label)))
+    return pa.table({"row": row, "lost": lost, "leads": np.isin(np.arange(len(label)), best), "none": none[label], "first_id": first_id[label], "first_row": first_row[label]})
 
 
 def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int = STAGE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
@@ -262,15 +269,15 @@ def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int =
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
     body = F.coalesce("text", F.lit(""))
     named = docs.select("doc_id", "row", F.struct(F.xxhash64(body), F.crc32(body.cast("binary")), F.length(body)).alias("same"))
-    named = stored(named.dropDuplicates(["row"]), "named")
+    named = stored(named, "named")
     firsts = stored(named.groupBy("same").agg(F.min(order).alias("o")).select("same", "o.row", "o"), "firsts")
     lost = named.join(firsts.select("same", F.col("row").alias("kept")), "same").where("row <> kept").select("row")
     # Texts are read where they lie; only fingerprints and the texts of groups are shuffled.
-    prints = fingerprints(docs.select(F.col("row").alias("doc_id"), "text"), None).dropDuplicates(["doc_id"])
+    prints = fingerprints(docs.select(F.col("row").alias("doc_id"), "text"), None)
     prints = stored(prints.join(firsts.select(F.col("row").alias("doc_id")), "doc_id"), "prints")
     groups = stored(linked(prints, radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "groups")
     several = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    texts = docs.join(stored(groups.join(several, "component"), "wanted"), "row").dropDuplicates(["row"])
+    texts = docs.join(stored(groups.join(several, "component"), "wanted"), "row")
     entries = shingle_sets(texts, shingle).select("component", "row", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("first_id"), F.col("row").alias("first_row"), "shingles")
     entries = stored(entries, "entries")
     seen = []
@@ -344,7 +351,7 @@ def all_linked(docs: DataFrame, rows: DataFrame, edges: DataFrame, shingle: int,
     common = frequent(shingle_sets(sample, shingle))
     short = stored(prefixes(docs, shingle, similarity, common).join(rows, "row"), "prefixes")
     bare = short.where("size = 0").select("row")
-    edges = edges.unionByName(bare.crossJoin(bare.agg(F.min("row").alias("least"))).select(F.col("row").alias("a"), F.col("least").alias("b")))
+    edges = edges.unionByName(bare.select(F.col("row").alias("a"), F.lit(bare.agg(F.min("row")).first()[0]).cast("long").alias("b")))
     for star in (True, False):
         roots = stored(components(edges), "roots")
         classed = short.join(roots.withColumnRenamed("node", "row"), "row", "left").select("row", "size", "prefix", F.coalesce("root", "row").alias("class"))
@@ -358,7 +365,7 @@ def all_linked(docs: DataFrame, rows: DataFrame, edges: DataFrame, shingle: int,
         met = met.where(most >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
         pairs = stored(met.select(F.col("row").alias("a"), F.col("row2").alias("b")).distinct(), "candidates")
         wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
-        texts = docs.join(wanted, "row").dropDuplicates(["row"]).withColumn("component", F.lit(0).cast("long"))
+        texts = docs.join(wanted, "row").withColumn("component", F.lit(0).cast("long"))
         sets = stored(shingle_sets(texts, shingle).select("row", "shingles"), "sets")
         both = pairs.join(sets.select(F.col("row").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("row").alias("b"), F.col("shingles").alias("y")), "b")
         common_size = F.size(F.array_intersect("x", "y"))
@@ -368,24 +375,21 @@ def all_linked(docs: DataFrame, rows: DataFrame, edges: DataFrame, shingle: int,
 
 
 def grouped(entries: DataFrame, key: list[str], similarity: float) -> DataFrame:
-    return entries.groupBy(*key).applyInPandas(lambda group: settled(group, similarity), SETTLED)
+    return entries.groupBy(*key).applyInArrow(lambda group: settled(group, similarity), SETTLED)
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with all its columns and one row of each group of near duplicates.
 
-    Rows that agree in every column are one group; texts without words are equal
-    to each other.
+    Texts without words, null ones too, are equal to each other. Of a group the
+    row with the smallest id stays, null ids last, then the first as read.
     """
-    row = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns])
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"), row.alias("_row"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"))
+    # Rows are numbered once, in a stored table: equal rows stay apart and a rerun of a task numbers nothing anew.
+    packed = stored(packed.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     plain = packed.select(F.col(f"_all.`{doc_id}`").cast("long").alias("doc_id"), F.col(f"_all.`{text}`").alias("text"), F.col("_row").alias("row"))
     gone = stored(near_duplicates(plain).withColumnRenamed("row", "_row"), "gone")
-    kept = packed.join(gone, "_row", "left_anti")
-    again = packed.groupBy("_row").count().where("count > 1").select("_row")
-    if not again.isEmpty():
-        kept = kept.join(again, "_row", "left_anti").unionByName(kept.join(again, "_row", "left_semi").dropDuplicates(["_row"]))
-    return kept.select("_all.*")
+    return packed.join(gone, "_row", "left_anti").select("_all.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -139,3 +139,9 @@ def test_large_groups_by_brute_force(spark, monkeypatch):
     rng.shuffle(rows)
     got = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
     assert sorted(r.doc_id for r in got) == brute(rows)
+
+
+def test_look_alike_rows_with_nulls_stay_apart(spark):
+    rows = [(5, None, "x", 0, 0), (None, "5", "x", 0, 0), (6, "6 x", None, 0, 0), (6, "6", "x", 0, 0)]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((i, t) for i, t, *_ in rows), key=str)
