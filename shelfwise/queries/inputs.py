@@ -168,6 +168,16 @@ enriched AS (
   FROM clean_catalogue c LEFT JOIN review_features USING (parent_asin))"""
 
 
+# Spark's English stop words, as far as they are whole words of two characters or more.
+STOP_WORDS = tuple(
+    "me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself "
+    "they them their theirs themselves what which who whom this that these those am is are was were be been being have has had having "
+    "do does did doing an the and but if or because as until while of at by for with about against between into through during before "
+    "after above below to from up down in out on off over under again further then once here there when where why how all any both each "
+    "few more most other some such no nor not only own same so than too very can cannot could would ought will just don should now".split()
+)
+
+
 def class_query(source: str, class_column: str, key: str) -> str:
     """CTEs ``rows_`` and ``ranked`` (class, key, rank by hash, class size)."""
     return f"""rows_ AS (SELECT {class_column} AS c, {key} AS k FROM {source} WHERE {class_column} IS NOT NULL),

@@ -62,6 +62,45 @@ def join_outer(spark, d):
     return _join(spark, d, "outer")
 
 
+# Without a review filter: some keys are missing on both sides and one book holds every review rated 5.
+_ALL_BOOKS = "CASE WHEN rating_number = 470 THEN NULL ELSE parent_asin END AS parent_asin"
+_ALL_REVIEWS = "CASE WHEN helpful_vote = 4 THEN NULL WHEN rating = 5 THEN 7 ELSE parent_asin END AS parent_asin"
+
+
+def _join_all_sql(how: str) -> str:
+    return (
+        f"WITH {I.CATALOGUE}, {I.REVIEWS}, c AS (SELECT {_ALL_BOOKS}, title, category_level_2_sub, price_numeric FROM catalogue "
+        f"WHERE category_level_2_sub IS NOT NULL), r AS (SELECT {_ALL_REVIEWS}, user_id, rating, title, year FROM reviews) "
+        f"SELECT {_JOIN_COLUMNS.replace('price_numeric', 'round(price_numeric, 6) AS price_numeric')} FROM c {how} JOIN r USING (parent_asin)"
+    )
+
+
+def _join_all(spark, d, how):
+    named = drop_missing_target(I.catalogue(spark, d)).selectExpr(_ALL_BOOKS, "title", "category_level_2_sub", "price_numeric")
+    facts = I.reviews(spark, d).selectExpr(_ALL_REVIEWS, "user_id", "rating", "title", "year")
+    return joins.join_reviews(named, facts, how)
+
+
+@query(_join_all_sql("INNER"))
+def join_all_inner(spark, d):
+    return _join_all(spark, d, "inner")
+
+
+@query(_join_all_sql("LEFT"))
+def join_all_left(spark, d):
+    return _join_all(spark, d, "left")
+
+
+@query(_join_all_sql("RIGHT"))
+def join_all_right(spark, d):
+    return _join_all(spark, d, "right")
+
+
+@query(_join_all_sql("FULL"))
+def join_all_outer(spark, d):
+    return _join_all(spark, d, "outer")
+
+
 @query(
     f"WITH {I.CATALOGUE}, {I.REVIEWS}, {_KEPT} SELECT count(*) AS rows, count(DISTINCT parent_asin) AS unique_books, "
     "count(DISTINCT user_id) AS unique_users FROM catalogue JOIN kept USING (parent_asin)"

@@ -80,13 +80,17 @@ def split_distribution(spark, d):
     f"""WITH {_SPLIT} SELECT 0.2::DOUBLE AS test_size, 42::BIGINT AS random_state, 'lang' AS target_column,
   count(*) AS total_samples, count(*) FILTER (split = 'train') AS train_samples,
   count(*) FILTER (split = 'test') AS test_samples, count(DISTINCT c) FILTER (split = 'train') AS n_classes,
-  string_agg(DISTINCT c, ',' ORDER BY c) AS classes FROM split"""
+  string_agg(DISTINCT c, ',' ORDER BY c) AS classes,
+  (SELECT string_agg(c || ':' || n, ',' ORDER BY c) FROM (SELECT c, count(*) AS n FROM split WHERE split = 'train' GROUP BY c)) AS train_distribution,
+  (SELECT string_agg(c || ':' || n, ',' ORDER BY c) FROM (SELECT c, count(*) AS n FROM split WHERE split = 'test' GROUP BY c)) AS test_distribution
+FROM split"""
 )
 def split_summary(spark, d):
     summary = sampling.split_summary(train_test_split(spark, d), "lang")
-    return summary.drop("train_distribution", "test_distribution").withColumn(
-        "classes", F.array_join("classes", ",")
-    )
+    flat = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws(":", e["key"], e["value"])), ",").alias(c)
+    maps = ("train_distribution", "test_distribution")
+    rest = [c for c in summary.columns if c not in (*maps, "classes")]
+    return summary.select(*rest, F.array_join("classes", ",").alias("classes"), *[flat(c) for c in maps])
 
 
 @query(
@@ -126,16 +130,14 @@ def sample_distribution(spark, d):
 
 _WEIGHTS = """sizes AS (SELECT source AS c, count(*) AS n FROM labelled GROUP BY 1),
 balanced AS (SELECT c, n, (SELECT sum(n) FROM sizes)::DOUBLE / ((SELECT count(*) FROM sizes) * n) AS weight FROM sizes)"""
-_LABELLED = "labelled AS (SELECT doc_id, source, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels))"
+_LABELLED = "labelled AS (SELECT doc_id, source, lang FROM documents)"
 _LANG_WEIGHTS = _WEIGHTS.replace("source", "lang").replace("labelled", "documents")
 _AGGRESSIVE = "raised AS (SELECT c, n, pow(weight, 1.2::DOUBLE) AS w FROM balanced), strong AS (SELECT c, n, w / (SELECT avg(w) FROM raised) AS weight FROM raised)"
 
 
 def _labelled(spark, d):
-    """Labelled documents: sources of unequal size."""
-    return I.table(spark, d, "documents").select("doc_id", "source", "lang").join(
-        I.table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi"
-    )
+    """All documents; their sources are classes of unequal size."""
+    return I.table(spark, d, "documents").select("doc_id", "source", "lang")
 
 
 @query(f"WITH {_LABELLED}, {_WEIGHTS} SELECT c AS source, n, round(weight, 6) AS weight FROM balanced")

@@ -18,16 +18,26 @@ from shelfwise.sources import sinks, tables
 
 
 @query(
-    f"""WITH {I.CATALOGUE} SELECT parent_asin, title, category_level_2_sub, description, round(price_numeric, 6) AS price_numeric,
-  average_rating, rating_number FROM catalogue"""
+    f"""WITH {I.CATALOGUE} SELECT * REPLACE (round(price_numeric, 6) AS price_numeric,
+  CASE WHEN description <> '' THEN description END AS description) FROM catalogue"""
 )
 def csv_round_trip(spark, d):
-    """The catalogue as CSV: quotes, blanks and missing values survive."""
-    wanted = ["parent_asin", "title", "category_level_2_sub", "description", "price_numeric", "average_rating", "rating_number"]
-    path = sinks.write_table(I.catalogue(spark, d).select(*wanted), scratch_path(spark, "books") + ".csv", "csv")
+    """The whole catalogue as CSV: quotes, blanks and missing values survive."""
+    path = sinks.write_table(I.catalogue(spark, d), scratch_path(spark, "books") + ".csv", "csv")
     return tables.read_catalogue(spark, path).withColumn("parent_asin", F.col("parent_asin").cast("bigint"))
 
 
+@query(
+    f"""WITH {I.REVIEWS} SELECT * REPLACE (replace(text, ' ', chr(10) || '"') AS text) FROM reviews"""
+)
+def review_csv(spark, d):
+    """All reviews as CSV whose texts hold line breaks and quotes, read back typed."""
+    broken = I.reviews(spark, d).withColumn("text", F.replace("text", F.lit(" "), F.lit('\n"')))
+    path = sinks.write_table(broken, scratch_path(spark, "reviews") + ".csv", "csv")
+    ids = {c: F.col(c).cast("bigint") for c in ("parent_asin", "user_id")}
+    return tables.read_reviews(spark, path).withColumns(ids)
+
+
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def parquet_round_trip(spark, d):
     path = sinks.write_table(I.table(spark, d, "documents"), scratch_path(spark, "documents") + ".parquet")
