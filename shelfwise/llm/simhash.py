@@ -146,7 +146,8 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     rows = covered(nodes, radius, 0, [])
     while True:
         sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        rows = stored(rows.join(sizes, "bucket"), "buckets")
+        # Sizes of exploded rows are guessed far too small: without the hint they would be broadcast.
+        rows = stored(rows.join(sizes.hint("merge"), "bucket"), "buckets")
         ready = rows.where(F.col("n") <= BUCKET if level < LEVELS else F.lit(True))
         members = ready.groupBy("bucket").agg(F.sort_array(F.collect_list("fp")).alias("fps")).select("fps").distinct()
         found = members.mapInArrow(pairs, "a long, b long")
@@ -357,9 +358,9 @@ def all_linked(docs: DataFrame, rows: DataFrame, edges: DataFrame, shingle: int,
         classed = short.join(roots.withColumnRenamed("node", "row"), "row", "left").select("row", "size", "prefix", F.coalesce("root", "row").alias("class"))
         several = classed.select("row", "class", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("row").alias("least")).where("low <> high").select("h", "least")
         spread = classed.select("row", "size", "class", F.posexplode("prefix").alias("at", "h"))
-        left = stored(spread.join(several, "h"), "shared")
+        left = stored(spread.join(several.hint("merge"), "h"), "shared")
         right = left.select("h", *[F.col(c).alias(f"{c}2") for c in ("row", "size", "class", "at")])
-        met = left.join(right.join(several.withColumnRenamed("least", "row2"), ["h", "row2"]) if star else right, "h").where("row > row2 and class <> class2")
+        met = left.join((right.join(several.withColumnRenamed("least", "row2").hint("merge"), ["h", "row2"]) if star else right).hint("merge"), "h").where("row > row2 and class <> class2")
         # A pair's first common shingle leaves it at most so many more; the others may be too few.
         most = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
         met = met.where(most >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
