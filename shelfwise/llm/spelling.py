@@ -116,7 +116,8 @@ def near_pairs(words: DataFrame, group: int = GROUP) -> DataFrame:
     while True:
         rows = chunked(open_rows)
         sizes = rows.groupBy("key").agg(F.count("*").alias("size"), F.min("longer").alias("one_short"), F.max(F.length("part") - F.col("longer").cast("int")).alias("left"))
-        rows = stored(rows.join(sizes.where("size > 1 and not one_short").drop("one_short"), "key"), "chunks")
+        # Sizes of exploded rows are guessed far too small: without the hint they would be broadcast.
+        rows = stored(rows.join(sizes.where("size > 1 and not one_short").drop("one_short").hint("merge"), "key"), "chunks")
         small = (F.col("size") <= group) | (F.col("left") <= 1)
         found.append(stored(paired(rows.where(small)), "near"))
         open_rows = rows.where(~small).select("key", "word", "part", "longer")
