@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from shelfwise import schemas as S
 from shelfwise.functions.numeric import nan_to_null, round_half_even
@@ -77,19 +77,22 @@ def rating_by_category(
 ) -> DataFrame:
     """Ratings of each category over the inner join of both tables.
 
-    Reviews shrink to counts per (book, rating) before the join, so neither a
-    hot book nor a dominant category reaches one task as rows; moments and the
-    exact median come from the counts.
+    Reviews shrink to counts per (book, rating) before the join and to counts
+    per (category, rating) after it, so neither a hot book nor a dominant category
+    reaches one task as rows; moments, books and the exact median come from
+    that class-level table.
     """
-    books = catalogue.where(F.col(level).isNotNull()).select(key, level)
-    joined = books.join(rating_counts(reviews, key), key)
+    books = catalogue.where(F.col(level).isNotNull()).groupBy(key, level).agg(F.count(F.lit(1)).alias("_m"))
+    first = F.row_number().over(W.partitionBy(key).orderBy("rating")) == 1
+    joined = books.join(rating_counts(reviews, key).withColumn("_book", first.cast("int")), key)
+    counts = joined.groupBy(level, "rating").agg(F.sum(F.col("_c") * F.col("_m")).alias("_c"), F.sum("_book").alias("_books"))
     n, r = F.when(F.col("rating").isNotNull(), F.col("_c")).otherwise(0), F.col("rating")
-    moments = joined.groupBy(level).agg(
+    moments = counts.groupBy(level).agg(
         F.sum(n).alias("num_reviews"),
         F.sum(r * n).alias("_s1"),
         F.sum(r * r * n).alias("_s2"),
         F.expr("percentile(rating, 0.5, _c)").alias("median_rating"),
-        F.count_distinct(key).alias("num_books"),
+        F.sum("_books").alias("num_books"),
     )
     mean = F.try_divide(F.col("_s1"), F.col("num_reviews"))
     spread = F.greatest(F.col("_s2") - F.col("_s1") * mean, F.lit(0.0))
