@@ -11,8 +11,8 @@ from pyspark.sql import functions as F, types as T
 from shelfwise.operators import sampling, weights
 from shelfwise.plans import prepare as plan
 from shelfwise.plans.config import SplitConfig
-from shelfwise.queries import inputs as I
-from shelfwise.queries.registry import query
+from shelfwise.queries import cleaning, evaluation, inputs as I
+from shelfwise.queries.registry import SQL, query
 from shelfwise.session import scratch_path
 from shelfwise.sources import sinks, tables
 
@@ -102,3 +102,29 @@ def summary_report_ratings(spark, d):
         summary_sections(spark, I.catalogue(spark, d), I.reviews(spark, d)), scratch_path(spark, "report")
     )
     return tables.read_optional_json(spark, paths["ratings"]).select("rating", "count", "percentage")
+
+
+@query(SQL["prepared_table"])
+def saved_prepared(spark, d):
+    """The prepared table and its weights, saved and loaded."""
+    root = scratch_path(spark, "prepared")
+    stages = plan.prepare(I.raw_catalogue(spark, d), I.reviews(spark, d, True), cleaning.CONFIG)
+    plan.save_prepared(stages.sampled, f"{root}/table", weights=stages.weights, weights_path=f"{root}/weights")
+    return plan.load_prepared(spark, f"{root}/table").drop("has_series")
+
+
+@query(SQL["model_comparison"])
+def model_comparison_file(spark, d):
+    """The comparison of models as a CSV file, read back."""
+    compared = evaluation.model_comparison(spark, d)
+    path = sinks.write_model_comparison(compared, scratch_path(spark, "comparison"))
+    return spark.read.option("header", True).schema(compared.schema).csv(path)
+
+
+@query(f"SELECT class, support FROM ({SQL['classification_report']})")
+def classification_report_file(spark, d):
+    """The classification report as aligned text, its classes and row counts read back."""
+    path = sinks.write_classification_report(evaluation.classification_report(spark, d), scratch_path(spark, "classes"))
+    line = F.col("value")
+    support = F.trim(F.substring(line, 67, 12)).cast("bigint")
+    return spark.read.text(path).select(F.trim(F.substring(line, 1, 30)).alias("class"), support.alias("support"))

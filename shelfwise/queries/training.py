@@ -179,6 +179,20 @@ def feature_dataset_summary(spark, d):
     return dataset_summary(featured, fitted).withColumn("class_names", F.array_join("class_names", ","))
 
 
+@query(f"WITH {_TERMS} SELECT split, label::DOUBLE AS label, count(*) AS n FROM split JOIN classes USING (category) GROUP BY ALL")
+def saved_labels(spark, d):
+    """Rows per split and label of the stored feature table."""
+    return _featured(spark, d)[1].groupBy("split", LABEL).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_TERMS} SELECT label AS idx, category AS class FROM classes")
+def saved_model_classes(spark, d):
+    """The class names a saved model carries, by index."""
+    _logistic(spark, d)
+    names = load_model(spark, _SAVED[spark.sparkContext.applicationId, d, "logistic"])[1]["class_names"]
+    return spark.createDataFrame(list(enumerate(names)), "idx int, class string")
+
+
 @query()
 def train_logistic(spark, d):
     """Logistic regression with balanced weights: overall test metrics."""
