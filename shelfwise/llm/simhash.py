@@ -175,7 +175,7 @@ def linked(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 STAGE_SHINGLE = 5
-STAGE_RADIUS = 6
+STAGE_RADIUS = 3
 SIMILARITY = 0.8
 GROUP = 500
 GROUP_SHINGLES = 400_000
@@ -385,12 +385,12 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     Texts without words, null ones too, are equal to each other. Of a group the
     row with the smallest id stays, null ids last, then the first as read.
     """
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all"))
     # Rows are numbered once, in a stored table: equal rows stay apart and a rerun of a task numbers nothing anew.
-    packed = stored(packed.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    plain = packed.select(F.col(f"_all.`{doc_id}`").cast("long").alias("doc_id"), F.col(f"_all.`{text}`").alias("text"), F.col("_row").alias("row"))
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    numbered = stored(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], F.monotonically_increasing_id().alias("_row")), "numbered")
+    plain = numbered.select(F.col(own[doc_id]).cast("long").alias("doc_id"), F.col(own[text]).alias("text"), F.col("_row").alias("row"))
     gone = stored(near_duplicates(plain).withColumnRenamed("row", "_row"), "gone")
-    return packed.join(gone, "_row", "left_anti").select("_all.*")
+    return numbered.join(gone, "_row", "left_anti").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
