@@ -1,7 +1,8 @@
 """Time the registered queries and print one JSON line.
 
 Environment: BENCH_SF_DIR (tables), BENCH_CPUS (local threads), BENCH_RUNS
-(warm runs per query, median taken), BENCH_ONLY (comma-separated name parts).
+(warm runs per query, median taken), BENCH_ONLY (comma-separated name parts),
+BENCH_SCRATCH (the shared folder of stored stages).
 Every query is built and fully computed into a ``noop`` sink. Queries that
 train a model run once; the others run once to warm up first.
 """
@@ -12,6 +13,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from shelfwise.queries import QUERIES, SQL
@@ -30,6 +32,7 @@ def main() -> None:
         spark__driver__memory="16g",
         spark__sql__shuffle__partitions=CPUS,
         spark__ui__enabled="false",
+        spark__checkpoint__dir=os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
 
