@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
 import sys
 import tempfile
@@ -69,6 +70,18 @@ def drop_stored(*frames: DataFrame) -> None:
             fs.delete_dir(path)
 
 
+@contextlib.contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, a query's shuffle files go when it ends; else they stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system behind a path or URI, and the path inside it."""
     if uri.startswith("file:"):

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm.common import Words, bounded, hash_strings, stored, table
+from shelfwise.llm.common import Words, bounded, drop_stored, hash_strings, short_lived_shuffles, stored, table
 from shelfwise.llm.components import components
 
 SHINGLE = 3
@@ -277,11 +277,12 @@ def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int =
     prints = fingerprints(docs.select(F.col("row").alias("doc_id"), "text"), None)
     prints = stored(prints.join(firsts.select(F.col("row").alias("doc_id")), "doc_id"), "prints")
     groups = stored(linked(prints, radius).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component")), "groups")
+    drop_stored(prints)
     several = groups.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
     texts = docs.join(stored(groups.join(several, "component"), "wanted"), "row")
     entries = shingle_sets(texts, shingle).select("component", "row", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("first_id"), F.col("row").alias("first_row"), "shingles")
     entries = stored(entries, "entries")
-    seen = []
+    used, seen = [entries], []
     for turn in range(ROUNDS + 1):
         sizes = entries.groupBy("component").agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("total"))
         is_large = (F.col("n") > GROUP) | (F.col("total") > GROUP_SHINGLES)
@@ -293,12 +294,15 @@ def near_duplicates(docs: DataFrame, shingle: int = STAGE_SHINGLE, radius: int =
             break
         drawn = F.array_min(F.transform("shingles", lambda h: F.xxhash64(h, F.lit(turn))))
         dealt = stored(entries.withColumn("drawn", F.coalesce(drawn, F.lit(0))), "dealt")
+        used.append(dealt)
         loads = dealt.groupBy("component", "drawn").agg(F.ceil(F.greatest(F.count("*") / GROUP, F.sum(F.size("shingles")) / GROUP_SHINGLES)).alias("parts"))
         dealt = dealt.join(loads, ["component", "drawn"]).withColumn("part", F.pmod(F.xxhash64("row", F.lit(turn)), F.col("parts")))
         done = stored(grouped(dealt, ["component", "drawn", "part"], similarity), "settled")
         seen.append(done.where("lost is not null").select(F.col("lost").alias("a"), F.col("first_row").alias("b")))
         leads = done.where("leads").select("row", "none", "first_id", "first_row")
         entries = stored(dealt.select("component", "row", "shingles").join(leads, "row"), "entries")
+        used.append(entries)
+    drop_stored(*used)
     roots = all_linked(docs, firsts.select("row"), reduce(DataFrame.unionByName, seen), shingle, similarity)
     members = stored(roots.join(firsts.select(F.col("row").alias("node"), "o"), "node"), "members")
     stays = members.groupBy("root").agg(F.min("o").alias("kept"))
@@ -315,8 +319,28 @@ def frequent(sets: DataFrame) -> np.ndarray:
     return np.array([r.h for r in drawn.orderBy(F.desc("n"), "h").limit(COMMON).collect()][::-1], np.int64)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of 64 places or more, a power of two and no fewer than the hashes, whether an odd number fall there; as bits."""
+    places = max(64, 1 << (len(hashes) - 1).bit_length())
+    odd = (np.bincount(hashes & (places - 1), minlength=places) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
+def least_apart(x: str, y: str):
+    """At least so many members of two sets are in only one of them, by their ``parities``.
+
+    A member of one set only changes one place, a member of both none. Bits of
+    twice the length are folded; beyond that nothing is said.
+    """
+    n = F.least(F.size(x), F.size(y))
+    halves = lambda c: F.zip_with(F.slice(c, 1, n), F.slice(c, n + 1, n), lambda p, q: p.bitwiseXOR(q))
+    folded = lambda c: F.when(F.size(c) > n, halves(c)).otherwise(F.col(c))
+    differ = F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return F.when(F.greatest(F.size(x), F.size(y)) > 2 * n, 0).otherwise(F.aggregate(differ, F.lit(0), lambda total, d: total + d))
+
+
 def prefixes(docs: DataFrame, size: int, similarity: float, common: np.ndarray) -> DataFrame:
-    """``docs(row, text)`` as ``size`` of its shingle set and the set's ``prefix``.
+    """``docs(row, text)`` as ``size`` of its shingle set, the set's ``prefix`` and its parity ``bits``.
 
     Of two sets with the wanted similarity, one of the first
     ``n - ceil(similarity * n) + 1`` shingles of each, in any one order, is in both.
@@ -328,43 +352,50 @@ def prefixes(docs: DataFrame, size: int, similarity: float, common: np.ndarray)
         known, place = shared.value
         for batch in bounded(batches, most=2 << 20):
             hashes, counts = shingle_hashes(Words(batch.column("text"), lower=True), size)
-            sizes, out = [], []
+            sizes, bits, out = [], [], []
             for h in np.split(hashes.view(np.int64), np.cumsum(counts)[:-1]) if len(counts) else []:
                 h = np.unique(h)
+                bits.append(parities(h))
                 if len(known):
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                     h = h[np.argsort(np.where(known[at] == h, place[at] + 1, 0), kind="stable")]
                 sizes.append(len(h))
                 out.append(h[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1])
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sizes, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["row", "size", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(sizes, pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (out, bits))], names=["row", "size", "prefix", "bits"])
 
-    return docs.select("row", "text").mapInArrow(run, "row long, size long, prefix array<long>")
+    return docs.select("row", "text").mapInArrow(run, "row long, size long, prefix array<long>, bits array<long>")
 
 
 def all_linked(docs: DataFrame, rows: DataFrame, edges: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """``(node, root)`` of ``rows`` joined by ``edges(a, b)`` or by any pair of the wanted similarity.
 
     Pairs that ``edges`` join already need no look. The others that share a
-    prefix shingle are compared in full: first every row with the smallest one
-    of each of its shingles, then all that are still apart.
+    prefix shingle are compared in full, unless their parity bits show that too
+    much differs: first every row with the smallest one of each of its shingles,
+    then all that are still apart. Classes only grow, so the second pass needs
+    only the shingles that the first one found in several classes.
     """
     sample = docs.join(rows.where(F.pmod(F.xxhash64("row"), F.lit(SAMPLE)) == 0), "row").select(F.lit(0).cast("long").alias("component"), "doc_id", "row", "text")
     common = frequent(shingle_sets(sample, shingle))
     short = stored(prefixes(docs, shingle, similarity, common).join(rows, "row"), "prefixes")
     bare = short.where("size = 0").select("row")
     edges = edges.unionByName(bare.select(F.col("row").alias("a"), F.lit(bare.agg(F.min("row")).first()[0]).cast("long").alias("b")))
+    sketch, left, at = short.select("row", "bits"), short, F.posexplode("prefix").alias("at", "h")
     for star in (True, False):
         roots = stored(components(edges), "roots")
-        classed = short.join(roots.withColumnRenamed("node", "row"), "row", "left").select("row", "size", "prefix", F.coalesce("root", "row").alias("class"))
-        several = classed.select("row", "class", F.explode("prefix").alias("h")).groupBy("h").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("row").alias("least")).where("low <> high").select("h", "least")
-        spread = classed.select("row", "size", "class", F.posexplode("prefix").alias("at", "h"))
-        left = stored(spread.join(several.hint("merge"), "h"), "shared")
-        right = left.select("h", *[F.col(c).alias(f"{c}2") for c in ("row", "size", "class", "at")])
-        met = left.join((right.join(several.withColumnRenamed("least", "row2").hint("merge"), ["h", "row2"]) if star else right).hint("merge"), "h").where("row > row2 and class <> class2")
+        classed = left.drop("class", "least").join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("class", F.coalesce("root", "row"))
+        classed = classed.select("row", "size", "class", *([at] if star else ["at", "h"]))
+        several = classed.groupBy("h").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("row").alias("least")).where("low <> high").select("h", "least")
+        before, left = left, stored(classed.join(several.hint("merge"), "h"), "shared")
+        right = (left.where("row = least") if star else left).select("h", *[F.col(c).alias(f"{c}2") for c in ("row", "size", "class", "at")])
+        met = left.join(right.hint("merge"), "h").where("row > row2 and class <> class2")
         # A pair's first common shingle leaves it at most so many more; the others may be too few.
         most = F.least(F.col("size") - F.col("at"), F.col("size2") - F.col("at2"))
         met = met.where(most >= similarity / (1 + similarity) * (F.col("size") + F.col("size2")) - 1e-6)
-        pairs = stored(met.select(F.col("row").alias("a"), F.col("row2").alias("b")).distinct(), "candidates")
+        met = met.select(F.col("row").alias("a"), F.col("row2").alias("b"), (F.col("size") + F.col("size2")).alias("total")).distinct()
+        met = met.join(sketch.toDF("a", "x"), "a").join(sketch.toDF("b", "y"), "b")
+        pairs = stored(met.where(least_apart("x", "y") <= (1 - similarity) / (1 + similarity) * F.col("total") + 1e-6).select("a", "b"), "candidates")
+        drop_stored(*([] if star else [before, left, short]))
         wanted = pairs.select(F.col("a").alias("row")).unionByName(pairs.select(F.col("b").alias("row"))).distinct()
         texts = docs.join(wanted, "row").withColumn("component", F.lit(0).cast("long"))
         sets = stored(shingle_sets(texts, shingle).select("row", "shingles"), "sets")
@@ -372,6 +403,7 @@ def all_linked(docs: DataFrame, rows: DataFrame, edges: DataFrame, shingle: int,
         common_size = F.size(F.array_intersect("x", "y"))
         near = both.where(common_size / (F.size("x") + F.size("y") - common_size) >= similarity).select("a", "b")
         edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(stored(near, "near"))
+        drop_stored(sets, pairs)
     return components(edges)
 
 
@@ -387,9 +419,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     """
     # Rows are numbered once, in a stored table: equal rows stay apart and a rerun of a task numbers nothing anew.
     own = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    numbered = stored(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], F.monotonically_increasing_id().alias("_row")), "numbered")
-    plain = numbered.select(F.col(own[doc_id]).cast("long").alias("doc_id"), F.col(own[text]).alias("text"), F.col("_row").alias("row"))
-    gone = stored(near_duplicates(plain).withColumnRenamed("row", "_row"), "gone")
+    with short_lived_shuffles(docs.sparkSession):
+        numbered = stored(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in own.items()], F.monotonically_increasing_id().alias("_row")), "numbered")
+        plain = numbered.select(F.col(own[doc_id]).cast("long").alias("doc_id"), F.col(own[text]).alias("text"), F.col("_row").alias("row"))
+        gone = stored(near_duplicates(plain).withColumnRenamed("row", "_row"), "gone")
     return numbered.join(gone, "_row", "left_anti").select(*[F.col(n).alias(c) for c, n in own.items()])
 
 

@@ -1,4 +1,6 @@
+import pathlib
 import random
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -145,3 +147,51 @@ def test_look_alike_rows_with_nulls_stay_apart(spark):
     rows = [(5, None, "x", 0, 0), (None, "5", "x", 0, 0), (6, "6 x", None, 0, 0), (6, "6", "x", 0, 0)]
     got = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(((i, t) for i, t, *_ in rows), key=str)
+
+
+def test_parities_by_brute_force(spark):
+    rng = random.Random(17)
+    pairs = []
+    for n in (0, 1, 50, 63, 64, 65, 128, 129, 900, 3000):
+        for _ in range(12):
+            a = {rng.randrange(-(2**63), 2**63) for _ in range(n)}
+            b = set(list(a)[: int(n * rng.choice([0, 0.5, 0.8, 0.9, 1]))]) | {rng.randrange(-(2**63), 2**63) for _ in range(rng.choice([0, 1, n // 9, n // 2, n, 5 * n]))}
+            pairs.append((len(a ^ b), len(a) + len(b), *(simhash.parities(np.array(sorted(s), np.int64)).tolist() for s in (a, b))))
+    rows = spark.createDataFrame(pairs, "apart long, total long, x array<long>, y array<long>").select("apart", "total", simhash.least_apart("x", "y").alias("least")).collect()
+    # Never too many, and enough to tell texts apart that have little in common.
+    assert len(rows) == len(pairs) and all(0 <= r.least <= r.apart for r in rows)
+    assert all(r.least == r.apart for r in rows if r.apart <= 1)
+    like = [r for r in rows if r.total > 1000 and r.apart > 0.4 * r.total and r.least > 0]
+    assert like and all(r.least > r.total / 9 for r in like)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_near_duplicates_leave_little_on_disk(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(60):
+        # A passage that two texts share makes a candidate that is not near.
+        words = [f"w{rng.randrange(10**6)}" for _ in range(1000)]
+        rows += [(len(rows) + k, " ".join(t), "en", 0, 0) for k, t in enumerate([words, words[:600] + [f"x{rng.randrange(10**6)}" for _ in range(400)]])]
+    words[500] = "changed"
+    rows.append((len(rows), " ".join(words), "en", 0, 0))
+    folder, seen, plain = pathlib.Path(spark.conf.get("spark.checkpoint.dir")), [], simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, name: seen.append((name, (out := plain(df, name)).count())) or out)
+    before = set(folder.iterdir())
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert "gone" in left and not left & {"entries", "prefixes", "shared", "candidates", "sets"}
+    assert sum(n for name, n in seen if name == "candidates") <= 2 and got.count() == len(rows) - 1
+    # Shuffle files of the stage's own writes go without waiting for the driver's garbage.
+    with simhash.short_lived_shuffles(spark):
+        files = shuffle_files(spark)
+        plain(spark.range(1000).repartition(7, "id"), "dealt")
+        for _ in range(50):
+            if shuffle_files(spark) <= files:
+                break
+            time.sleep(0.1)
+        assert shuffle_files(spark) <= files
