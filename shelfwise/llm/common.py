@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import itertools
 import json
 import sys
 import tempfile
@@ -161,7 +162,8 @@ class Words:
 
 def hash_strings(values: pa.Array, seed: int = 42) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(v, seed) for v in values.cast(pa.binary()).to_pylist()), np.uint64, len(values))
+    words = values.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    return np.fromiter(map(digest, words, itertools.repeat(seed)), np.uint64, len(values))
 
 
 def fast_hashes(values: pa.Array, seed: int = 1) -> np.ndarray:

@@ -9,6 +9,21 @@ from __future__ import annotations
 
 import numpy as np
 
+EACH_BYTE, TOP_BITS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+
+
+def _in_byte() -> np.ndarray:
+    """At ``rank * 256 + byte`` the place of the byte's one with that rank."""
+    bits = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(bool)
+    rank = np.cumsum(bits, axis=1) - 1
+    table = np.zeros((8, 256), np.int64)
+    byte, place = np.nonzero(bits)
+    table[rank[byte, place], byte] = place
+    return table.ravel()
+
+
+IN_BYTE = _in_byte()
+
 
 def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     """Sorted unsigned values, relative to the first of them, as flat arrays."""
@@ -53,26 +68,48 @@ def select_zero(words: np.ndarray, zeros: np.ndarray, rank: np.ndarray) -> np.nd
 def select_one(words: np.ndarray, before: np.ndarray, rank: np.ndarray, flip: bool = False) -> np.ndarray:
     """Positions of the ones (``flip``: zeros) with the given ranks; ``before`` counts them ahead of each word."""
     word = np.searchsorted(before, rank, "right") - 1
-    left = (rank - before[word].astype(np.int64)).astype(np.int64)
+    left = (rank - before[word].astype(np.int64)).astype(np.uint64)
     value = words[np.minimum(word, len(words) - 1)]
     value = ~value if flip else value
-    at = np.zeros(len(rank), np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        count = np.bitwise_count(value & np.uint64((1 << half) - 1)).astype(np.int64)
-        step = left >= count
-        left -= np.where(step, count, 0)
-        at += np.where(step, half, 0)
-        value = np.where(step, value >> np.uint64(half), value)
+    # All eight bytes of a word at once: ones up to and with each byte, bytes that end before the one sought.
+    sums = np.bitwise_count(value.view(np.uint8)).view(np.uint64) * EACH_BYTE
+    place = np.bitwise_count(((left * EACH_BYTE | TOP_BITS) - sums) & TOP_BITS).astype(np.uint64) << np.uint64(3)
+    left -= ((sums << np.uint64(8)) >> place) & np.uint64(255)
+    at = place.astype(np.int64) + IN_BYTE[(left << np.uint64(8)) | ((value >> place) & np.uint64(255))]
     return word * 64 + at
 
 
+def next_one(words: np.ndarray, before: np.ndarray, rank: np.ndarray, at: np.ndarray, flip: bool = False) -> np.ndarray:
+    """Positions of the ones (``flip``: zeros) that follow those with the given ranks, which lie ``at``."""
+    value = words[at >> 6]
+    rest = (~value if flip else value) & (np.uint64(2**64 - 2) << (at & 63).astype(np.uint64))
+    out = (at & ~63) + np.bitwise_count((rest & (~rest + np.uint64(1))) - np.uint64(1))
+    far = np.flatnonzero(rest == 0)
+    out[far] = select_one(words, before, rank[far] + 1, flip)
+    return out
+
+
+def ones_before(code: dict[str, np.ndarray]) -> np.ndarray:
+    """Ones before each word, from the stored zeros."""
+    return 64 * np.arange(len(code["zeros"]), dtype=np.int64) - code["zeros"]
+
+
+def behind(code: dict[str, np.ndarray], at: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The values at the given positions of the sequence, whose ones lie at ``place``."""
+    base, width = code["head"][1], int(code["head"][2])
+    return (((place - at).astype(np.uint64) << np.uint64(width)) | low_bits(code["low"], width, at)) + base
+
+
 def access(code: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
     """The values at the given positions of the sequence."""
-    base, width = code["head"][1], int(code["head"][2])
-    # Ones before each word, from the stored zeros.
-    ones = 64 * np.arange(len(code["zeros"]), dtype=np.int64) - code["zeros"]
-    high = (select_one(code["words"], ones, at) - at).astype(np.uint64)
-    return ((high << np.uint64(width)) | low_bits(code["low"], width, at)) + base
+    return behind(code, at, select_one(code["words"], ones_before(code), at))
+
+
+def access_pairs(code: dict[str, np.ndarray], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values at the given positions and at those behind them."""
+    ones = ones_before(code)
+    place = select_one(code["words"], ones, at)
+    return behind(code, at, place), behind(code, at + 1, next_one(code["words"], ones, at, place))
 
 
 def find(code: dict[str, np.ndarray], queries: np.ndarray) -> np.ndarray:
@@ -84,8 +121,10 @@ def find(code: dict[str, np.ndarray], queries: np.ndarray) -> np.ndarray:
     ok = np.flatnonzero((queries >= base) & (high_all >= 0) & (high_all < total))
     high, low = high_all[ok], (queries[ok] - base) & np.uint64((1 << width) - 1)
     # Numbers with this high part lie between the zero before them and their own.
-    start = np.where(high > 0, select_zero(code["words"], code["zeros"], np.maximum(high - 1, 0)) - (high - 1), 0)
-    end = np.minimum(select_zero(code["words"], code["zeros"], high) - high, n)
+    own = np.maximum(high - 1, 0)
+    place = select_zero(code["words"], code["zeros"], own)
+    start = np.where(high > 0, place - own, 0)
+    end = np.minimum(np.where(high > 0, next_one(code["words"], code["zeros"], own, place, flip=True), place) - high, n)
     live = np.flatnonzero(start < end)
     while len(live):
         middle = (start[live] + end[live]) // 2

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm import eliasfano
-from shelfwise.llm.common import Words, bounded, hash_strings, held_out, map_array, shared_path, table, write_bytes
+from shelfwise.llm.common import BATCH_BYTES, Words, bounded, hash_strings, held_out, map_array, ragged, shared_path, table, write_bytes
 
 LEAST = 1
 ORDER = 3
@@ -44,6 +44,7 @@ END = np.uint64(0x5B1CE5A1F00D0E2D)  # the end's name among word hashes
 QUANTUM = 0.06
 BLOCK_TOKENS = 2 << 20
 OPEN_BLOCKS = 64
+READ_WHOLE, READ_LAST = 8, 256  # successors a key, and besides, that are read instead of searched
 CODEC = "zstd"
 
 
@@ -91,9 +92,14 @@ class Level:
         """The number of the block each key belongs to."""
         if self.below is None:
             return (keys >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
-        context, word = np.divmod(keys, np.uint64(self.words))
-        row = np.searchsorted(self.below.bases, context.astype(np.int64), "right") - 1
-        return self.starts[row] + (word.astype(np.int64) * self.rows[row]) // self.words
+        context, word = self.parts(keys)
+        row = np.searchsorted(self.below.bases, context, "right") - 1
+        return self.starts[row] + (word * self.rows[row]) // self.words
+
+    def parts(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Context and word number of every key of a level above the first."""
+        context = keys // np.uint64(self.words)
+        return context.astype(np.int64), (keys - context * np.uint64(self.words)).astype(np.int64)
 
     def encoded(self, keys: np.ndarray) -> dict[str, np.ndarray]:
         """Sorted keys of one block as arrays: hashes as they are, successors behind pointers."""
@@ -105,41 +111,52 @@ class Level:
         width = max(1, int(self.words - 1).bit_length())
         return {**code, "range": np.array([context[0], len(pointers) - 1, width], np.uint64), "word": eliasfano.pack_bits(word, width)}
 
-    def search(self, code: dict[str, np.ndarray], keys: np.ndarray) -> np.ndarray:
-        """The place of every key in a block, -1 where it is absent."""
+    def span(self, number: int) -> tuple[int, int]:
+        """The word numbers from which and below which a block's successors lie."""
+        row = np.searchsorted(self.starts, number, "right") - 1
+        part, parts = int(number - self.starts[row]), int(self.rows[row])
+        return -(-part * self.words // parts), -(-(part + 1) * self.words // parts)
+
+    def search(self, code: dict[str, np.ndarray], keys: np.ndarray, span: tuple[int, int] | None = None) -> np.ndarray:
+        """The place of each of the ascending keys in a block, -1 where it is absent; ``span`` is the block's."""
         if self.below is None:
             return eliasfano.find(code, keys)
         first, contexts, width = (int(x) for x in code["range"])
         out = np.full(len(keys), -1)
-        context, word = np.divmod(keys, np.uint64(self.words))
-        own = context.astype(np.int64) - first
-        live = np.flatnonzero((own >= 0) & (own < contexts))
-        distinct, back = np.unique(own[live], return_inverse=True)
-        edges = eliasfano.access(code, np.concatenate([distinct, distinct + 1])).astype(np.int64)
-        low, high = edges[: len(distinct)][back], edges[len(distinct) :][back]
-        # Word numbers follow hashes, so they lie evenly in a range: the place is guessed from the
-        # value, every third time halved, and takes few steps however long the range is.
-        wanted, floor, ceiling = word[live].astype(np.int64), np.zeros(len(live), np.int64), np.full(len(live), self.words)
-        step = 0
-        while True:
-            going = low < high
-            if not going.all():
-                live, low, high, wanted, floor, ceiling = (x[going] for x in (live, low, high, wanted, floor, ceiling))
-            if not len(live):
-                return out
-            share = (wanted - floor) / (ceiling - floor) if step % 3 < 2 else 0.5
-            middle = np.minimum(low + ((high - low) * share).astype(np.int64), high - 1)
-            value = eliasfano.low_bits(code["word"], width, middle).astype(np.int64)
-            hit, less = value == wanted, value < wanted
+        context, word = self.parts(keys)
+        start, end = np.searchsorted(context, [first, first + contexts])
+        own, wanted = context[start:end] - first, word[start:end]
+        new = np.concatenate([[True], own[1:] != own[:-1]]) if len(own) else np.zeros(0, bool)
+        low, high = (x.astype(np.int64)[np.cumsum(new) - 1] for x in eliasfano.access_pairs(code, own[new]))
+        # Word numbers follow hashes, so a range's lie evenly in the block's span: the place is guessed from
+        # the value and then from the last value read, every sixth time halved. Short ranges are read whole.
+        floor, ceiling = span or (0, self.words)
+        live = np.flatnonzero(low < high)
+        low, high, wanted = low[live], high[live], wanted[live]
+        live, slope = live + start, (high - low) / (ceiling - floor)
+        guess, step = low + (wanted - floor) * slope, 0
+        while len(live):
+            if int((high - low).sum()) <= READ_WHOLE * len(live) + READ_LAST:
+                place, owner = ragged(low, high - low), np.repeat(np.arange(len(live)), high - low)
+                hit = np.flatnonzero(eliasfano.low_bits(code["word"], width, place).astype(np.int64) == wanted[owner])
+                out[live[owner[hit]]] = place[hit]
+                break
+            middle = guess.astype(np.int64) if step % 6 < 5 else (low + high) >> 1
+            middle = np.minimum(np.maximum(middle, low), high - 1)
+            off = wanted - eliasfano.low_bits(code["word"], width, middle).astype(np.int64)
+            hit = np.flatnonzero(off == 0)
             out[live[hit]] = middle[hit]
-            low, floor = np.where(less, middle + 1, low), np.where(less, value + 1, floor)
-            high, ceiling = np.where(less, high, np.where(hit, low, middle)), np.where(less | hit, ceiling, value)
+            low, high = np.where(off > 0, middle + 1, low), np.where(off < 0, middle, high)
+            going = np.flatnonzero((low < high) & (off != 0))
+            guess = (middle + off * slope)[going]
+            live, low, high, wanted, slope = live[going], low[going], high[going], wanted[going], slope[going]
             step += 1
+        return out
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Node number, count and quantised probability of every key; -1, 0 and 0 where absent."""
+    def find(self, keys: np.ndarray, names: tuple[str, ...] = ("count", "prob")) -> list[np.ndarray]:
+        """Node number of every key, -1 where absent, and what ``names`` says of ``count`` and quantised ``prob``, 0 there."""
         distinct, back = np.unique(keys, return_inverse=True)
-        node, count, prob = np.full(len(distinct), -1), np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        found = [np.full(len(distinct), -1), *(np.zeros(len(distinct), np.int64) for _ in names)]
         number = self.numbered(distinct)
         order = np.argsort(number, kind="stable")
         cut = np.searchsorted(number[order], self.numbers)
@@ -147,11 +164,13 @@ class Level:
         for k in np.flatnonzero(cut < end):
             own = order[cut[k] : end[k]]
             code = self.block(int(k))
-            at = self.search(code, distinct[own])
-            hit = at >= 0
-            node[own[hit]] = at[hit] + self.bases[k]
-            count[own[hit]], prob[own[hit]] = code["count"][at[hit]], code["prob"][at[hit]]
-        return node[back], count[back], prob[back]
+            at = self.search(code, distinct[own], self.span(int(self.numbers[k])) if self.below is not None else None)
+            hit = np.flatnonzero(at >= 0)
+            own, at = own[hit], at[hit]
+            found[0][own] = at + self.bases[k]
+            for name, values in zip(names, found[1:]):
+                values[own] = code[name][at]
+        return [x[back] for x in found]
 
     def values(self, node: np.ndarray, name: str) -> np.ndarray:
         """``count``, or ``word``, at every node number."""
@@ -207,16 +226,18 @@ class Tokens:
         self.place = np.arange(len(self.ids)) - (ends - sizes)[self.doc]
 
 
-def successors(levels: list[Level], tokens: Tokens) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """For every token its word number and, level by level, its node as the end of an n-gram."""
-    found = [tuple(x[tokens.ids] for x in levels[0].find(tokens.hashes))]
+def successors(levels: list[Level], tokens: Tokens, names: list[tuple[str, ...]]) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+    """For every token its word number and, level by level, its node as the end of an n-gram with
+    what ``names`` asks of the level."""
+    found = [[x[tokens.ids] for x in levels[0].find(tokens.hashes, names[0])]]
     word = found[0][0]
     for n, level in enumerate(levels[1:], 1):
         context = np.concatenate([[-1], found[-1][0][:-1]])
         good = np.flatnonzero((tokens.place >= n) & (context >= 0) & (word >= 0))
-        node, count, prob = np.full(len(word), -1), np.zeros(len(word), np.int64), np.zeros(len(word), np.int64)
-        node[good], count[good], prob[good] = level.find(context[good].astype(np.uint64) * np.uint64(levels[0].size) + word[good].astype(np.uint64))
-        found.append((node, count, prob))
+        own = [np.full(len(word), -1), *(np.zeros(len(word), np.int64) for _ in names[n])]
+        for values, x in zip(own, level.find(context[good].astype(np.uint64) * np.uint64(levels[0].size) + word[good].astype(np.uint64), names[n])):
+            values[good] = x
+        found.append(own)
     return word, found
 
 
@@ -262,16 +283,17 @@ def counted(docs: DataFrame, levels: list[Level], plan: Level, least: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = levels_of(shapes)
         goal = Level(below=known[-1] if known else None, **next_shape)
-        for batch in bounded(batches):
+        for batch in bounded(batches, most=BATCH_BYTES):
             tokens = Tokens(batch.column("text"))
             if not known:
                 order = np.argsort(tokens.hashes)
                 n = np.bincount(tokens.ids, minlength=len(order))[order]
                 yield pieces(goal, tokens.hashes[order][n > 0], n[n > 0])
                 continue
-            word, found = successors(known, tokens)
-            node, count, _ = found[-1]
-            often = (node >= 0) & (count >= least)
+            word, found = successors(known, tokens, [("count",), *[()] * (len(known) - 1)])
+            node = found[-1][0]
+            # Of the levels only the words' may hold what is rarer than ``least``.
+            often = (node >= 0) & (found[0][1] >= least) if len(known) == 1 else node >= 0
             pair = np.flatnonzero((tokens.place[1:] >= len(known)) & often[:-1] & often[1:]) + 1
             keys = node[pair - 1].astype(np.uint64) * np.uint64(known[0].size) + word[pair].astype(np.uint64)
             yield pieces(goal, *np.unique(keys, return_counts=True))
@@ -300,7 +322,7 @@ def add_level(arrived: DataFrame, levels: list[Level], plan: Level, folder: str,
         else:
             # The last two words' own node gives the mixture one level down.
             last = known[-1].values(context, "word").astype(np.uint64)
-            p = 10.0 ** (-QUANTUM * known[1].find(last * words + word.astype(np.uint64))[2])
+            p = 10.0 ** (-QUANTUM * known[1].find(last * words + word.astype(np.uint64), ("prob",))[1])
         share = n / np.maximum(known[-1].values(context, "count"), 1)
         return quantised(np.log10(WEIGHT * share + (1 - WEIGHT) * p))
 
@@ -363,20 +385,20 @@ def score(docs: DataFrame, trie: list[dict], doc_id: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = levels_of(trie)
         tokens, words = (levels[0].total, levels[0].size) if levels else (0, 0)
-        for batch in bounded(batches):
+        for batch in bounded(batches, most=BATCH_BYTES):
             rows = batch.num_rows
             text = Tokens(batch.column("text"))
             if levels:
-                _, found = successors(levels, text)
+                _, found = successors(levels, text, [("count",), *[("prob",)] * (len(levels) - 1)])
             else:
-                found = [(np.full(len(text.ids), -1), np.zeros(len(text.ids)), np.zeros(len(text.ids), np.int64))]
+                found = [[np.full(len(text.ids), -1), np.zeros(len(text.ids))]]
             doc, seen = text.doc, np.zeros(len(text.hashes))
             seen[text.ids] = found[0][1]
             base = unigram_log(seen, tokens, words)[text.ids]
             total = base.copy()
             for n in range(1, len(found)):
                 context = np.concatenate([[False], found[n - 1][0][:-1] >= 0]) & (text.place >= n)
-                node, _, code = found[n]
+                node, code = found[n]
                 total = np.where(node >= 0, -QUANTUM * code, np.where(context, np.log10(1 - WEIGHT) + total, total))
             sums = lambda x: np.bincount(doc, weights=x, minlength=rows)
             yield pa.RecordBatch.from_arrays(
