@@ -111,3 +111,27 @@ def test_beside_one_vs_rest(spark, frame):
     assert training.importance_frame(spark, loaded, [f"f{i}" for i in range(10)]).agg(F.sum("importance")).first()[0] == pytest.approx(1)
     with pytest.raises(ValueError, match="objective"):
         training.BoostedConfig(objective="other")
+
+
+def test_a_task_sends_one_record_for_each_node(spark, frame):
+    """Sums are added up over all rows of a task, not sent for every Arrow batch."""
+    bins = boosting.Bins(boosting.bin_edges(frame, "features", 8), 10)
+    columns = "cast(label as int) label", "w as weight", "0 as slice", "id as row", "array(0) as idx", "array(0) as bins", "array(0D, 0D, 0D) as margins"
+    table = frame.coalesce(1).selectExpr(*columns)
+    fit = boosting._Fit(CONFIG, table, 3, bins)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        sent = fit.sums(0, 0, [boosting.Tree.empty(3) for _ in range(3)], [(k, 0) for k in range(3)], True).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    assert len(bins.blocks) == 1 and len(sent) == 3 + 2
+    assert all(len(r.sums) == 2 * 8 * bins.start[-1] for r in sent if r.tree >= 0)
+
+
+def test_levels_too_large_for_a_task_take_several_jobs(frame, model, monkeypatch):
+    monkeypatch.setattr(boosting, "HELD", 1)
+    monkeypatch.setattr(boosting, "BLOCK", 16)
+    again = train_softmax(frame, CONFIG, weight="w")
+    assert [h[0] for h in again.history] == pytest.approx([h[0] for h in model.history])
+    assert again.gains == pytest.approx(model.gains)
